@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,51 +13,72 @@ ID_SLICE = 1 << 20
 RANK_PAIRS = {"star_rank": "star_count", "fork_rank": "fork_count"}
 
 
-def distributed_rank(
+def distributed_ranks(
     df: DataFrame,
-    score: str,
+    ranks: Mapping[str, str],
     tie: str,
-    name: str,
     within: Sequence[str] = (),
     id_slice: int = ID_SLICE,
 ) -> DataFrame:
-    """``rank() over (partition by within order by score desc, tie asc)`` as ``name``.
-
-    ``score`` is a count, ``tie`` an integer id. Rows fall into slices
-    ``(score, tie div id_slice)`` that sort like the rows themselves. The rank
-    is the number of rows in earlier slices plus the rank inside the slice, and
-    both sides of that join are partitioned by slice. Only the running total
-    over slice sizes is taken per ``within`` group: one row per distinct score
-    and id slice, already aggregated.
+    """``rank() over (partition by within order by score desc, tie asc)`` for each named score.
+
+    ``ranks`` maps the new column to its score, a count; ``tie`` is an integer
+    id, unique per ``within``; neither they nor ``within`` may be null.
+
+    Rows fall into slices ``(score, tie div id_slice)`` that sort like the rows
+    themselves. A rank is the number of rows in earlier slices plus the rank
+    inside the slice, and both sides of that join are partitioned by slice.
+    Only the running total over slice sizes is taken per ``within`` group: one
+    row per distinct score and id slice, already aggregated.
+
+    All scores are ranked in one pass over a long form (one row per score), so
+    both sides of the join read the same columns and Spark computes ``df`` once
+    for the two. The way back to one row per ``tie`` leaves the rows
+    partitioned by ``tie`` for whatever follows.
     """
     within = list(within)
-    slice_key = [*within, score, "_slice"]
-    sliced = df.withColumn("_slice", F.expr(f"`{tie}` div {id_slice}"))
+    scores = F.array(
+        *[
+            F.struct(F.lit(name).alias("_rank"), F.col(score).alias("_score"))
+            for name, score in ranks.items()
+        ]
+    )
+    # Declared non-null: a null check on one side only would cost the shared pass.
+    id_part = F.coalesce(F.expr(f"`{tie}` div {id_slice}"), F.lit(0)).alias("_slice")
+    scored = df.select(*df.columns, id_part, F.explode(scores).alias("_s")).select(
+        *df.columns, "_slice", "_s._rank", "_s._score"
+    )
+    slice_key = [*within, "_rank", "_score", "_slice"]
     earlier = (
-        Window.partitionBy(*within)
-        .orderBy(F.col(score).desc(), F.col("_slice").asc())
+        Window.partitionBy(*within, "_rank")
+        .orderBy(F.col("_score").desc(), F.col("_slice").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        sliced.groupBy(*slice_key)
+        scored.groupBy(*slice_key)
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_ahead", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
         .drop("_size")
     )
-    inside = Window.partitionBy(*slice_key).orderBy(F.col(tie).asc())
-    return (
-        sliced.withColumn("_inside", F.rank().over(inside))
+    inside = F.rank().over(Window.partitionBy(*slice_key).orderBy(F.col(tie).asc()))
+    ranked = (
+        scored.withColumn("_inside", inside)
         .join(offsets, slice_key)
-        .select(*df.columns, (F.col("_ahead") + F.col("_inside")).cast("int").alias(name))
+        .withColumn("_position", (F.col("_ahead") + F.col("_inside")).cast("int"))
+    )
+    if len(ranks) == 1:
+        return ranked.select(*df.columns, F.col("_position").alias(next(iter(ranks))))
+    return (
+        ranked.repartition(tie)
+        .groupBy(*df.columns)
+        .agg(*[F.max(F.when(F.col("_rank") == n, F.col("_position"))).alias(n) for n in ranks])
     )
 
 
 def with_star_and_fork_ranks(
     counts: DataFrame, within: Sequence[str] = ("ingested_at",), id_slice: int = ID_SLICE
 ) -> DataFrame:
-    for name, score in RANK_PAIRS.items():
-        counts = distributed_rank(counts, score, "repo_id", name, within, id_slice)
-    return counts
+    return distributed_ranks(counts, RANK_PAIRS, "repo_id", within, id_slice)
 
 
 def _movement(previous: Column, current: Column) -> Column:

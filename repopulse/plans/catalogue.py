@@ -318,7 +318,8 @@ def q_scd2_merge_table(spark: SparkSession, sf: str) -> DataFrame:
     lake = _lake(spark, "actor-dimension")
     table = jobs.ACTOR_DETAIL
     for batch_time in (tables.FIRST_BATCH, tables.SECOND_BATCH, tables.SECOND_BATCH):
-        scd2_merge_table(lake, _batch(spark, sf, batch_time), table, "user_id")
+        lake.replace(_batch(spark, sf, batch_time), jobs.ACTOR_DETAIL_BATCH)
+        scd2_merge_table(lake, lake.read(jobs.ACTOR_DETAIL_BATCH), table, "user_id")
     return read_dimension(lake, table)
 
 
@@ -371,12 +372,12 @@ def _totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_rank_stars(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = rank.distributed_rank(_totals(spark, sf), "star_count", "repo_id", "star_rank")
+    ranked = rank.distributed_ranks(_totals(spark, sf), {"star_rank": "star_count"}, "repo_id")
     return ranked.select("repo_id", "star_count", "star_rank")
 
 
 def q_rank_forks(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = rank.distributed_rank(_totals(spark, sf), "fork_count", "repo_id", "fork_rank")
+    ranked = rank.distributed_ranks(_totals(spark, sf), {"fork_rank": "fork_count"}, "repo_id")
     return ranked.select("repo_id", "fork_count", "fork_rank")
 
 
@@ -385,7 +386,7 @@ def q_rank_parts(spark: SparkSession, sf: str) -> DataFrame:
     lines = tables.read(spark, sf, "lineitem").groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("n_lines")
     )
-    return rank.distributed_rank(lines, "n_lines", "l_partkey", "part_rank")
+    return rank.distributed_ranks(lines, {"part_rank": "n_lines"}, "l_partkey")
 
 
 def q_repo_rank_first_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -406,7 +407,9 @@ def q_repo_metrics_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_hourly_top20(spark: SparkSession, sf: str) -> DataFrame:
     counts = _hourly_counts(spark, sf)
-    ranked = rank.distributed_rank(counts, "star_count", "repo_id", "star_rank", ["ingested_at"])
+    ranked = rank.distributed_ranks(
+        counts, {"star_rank": "star_count"}, "repo_id", ["ingested_at"]
+    )
     return metrics.hourly_top(ranked)
 
 

@@ -57,6 +57,7 @@ ACTOR_FETCH_LOG = "bronze/actor_fetch_log"
 SILVER_EVENTS = "silver/events"
 ACTOR_MASTER = "silver/actor_master"
 REPO_MASTER = "silver/repo_master"
+ACTOR_DETAIL_BATCH = "silver/actor_detail_batch"
 ACTOR_DETAIL = "silver/actor_detail_scd"
 REPO_HOURLY = "gold/repo_metrics_hourly"
 REPO_DAILY = "gold/repo_metrics_daily"
@@ -197,9 +198,8 @@ def merge_actor_dimension(lake: Lake, target: str, places: DataFrame, codes: Dat
     raw = lake.read_window(ACTOR_DETAIL_RAW, Interval.hour(target))
     batch = prepare_actor_details(raw, places, codes, parse_utc(target))
     # The batch feeds three writes: keep it as a table rather than compute it again.
-    staging = "silver/actor_detail_batch"
-    lake.replace(batch, staging)
-    scd2_merge_table(lake, lake.read(staging), ACTOR_DETAIL, "user_id")
+    lake.replace(batch, ACTOR_DETAIL_BATCH)
+    scd2_merge_table(lake, lake.read(ACTOR_DETAIL_BATCH), ACTOR_DETAIL, "user_id")
 
 
 def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession
 
-from repopulse.session import RUNTIME_DEFAULTS
+from repopulse.session import apply_runtime_defaults
 from repopulse.sinks.lake import Lake
 
 
@@ -22,9 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
     )
-    for key, value in RUNTIME_DEFAULTS.items():
-        builder = builder.config(key, value)
-    session = builder.getOrCreate()
+    session = apply_runtime_defaults(builder.getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
