@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key a single join task should see at most.
 HOT_ROWS = 1_000_000
+# Tasks that share the rows without a key.
+NULL_KEY_SALTS = 1024
 
 
 def salted_join(
@@ -30,7 +33,8 @@ def salted_join(
     depend on the number of keys.
 
     The salt hashes row content and input partition, never ``rand``: a retried
-    task gives every row the salt it had before.
+    task gives every row the salt it had before. Rows without a key match
+    nothing and are spread just the same.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
@@ -44,10 +48,11 @@ def salted_join(
     heavy = F.broadcast(heavy)
 
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
     spread = F.xxhash64(*(split_by or left.columns), F.spark_partition_id())
     salted_left = (
         left.join(heavy, on, "left")
-        .withColumn("_salt", F.pmod(spread, salts).cast("int"))
+        .withColumn("_salt", F.pmod(spread, F.when(no_key, NULL_KEY_SALTS).otherwise(salts)).cast("int"))
         .drop("_salts")
     )
     repeated_right = (
@@ -57,10 +62,7 @@ def salted_join(
     )
 
     keys = [*on, "_salt"]
-    match = None
-    for key in keys:
-        equal = F.col(f"l.{key}") == F.col(f"r.{key}")
-        match = equal if match is None else match & equal
+    match = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
     if condition is not None:
         match = match & condition
     kept_right = [F.col(f"r.{name}") for name in right.columns if name not in on]
