@@ -22,7 +22,11 @@ LOCAL_DEFAULTS = {
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "10000",
 }
 
+# Fixed when the session starts. A call site per column costs several round
+# trips to the JVM; one application runs many plans, so their code stays cached.
 STATIC_DEFAULTS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.redaction.string.regex": "(?i)secret|password|token|access[.]key",
 }
 

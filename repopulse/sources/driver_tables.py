@@ -31,14 +31,41 @@ JOINS_LATER = "BUILDING"
 MOVES_COMPANY_BELOW = 2000.0
 
 
+# Declared, so that no query pays for a look into the files first.
+COLUMNS = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the shape of the bronze event table."""
     user = F.col("user_id").cast("string")
-    repo = F.get_json_object("props", "$.k")
+    repo = F.regexp_extract("props", r"(\d+)", 1)
     login = F.concat(F.lit("user"), user, F.when(F.col("value") < BOT_BELOW, "[bot]").otherwise(""))
     kind = F.col("event_type")
     event_type, action = kind, F.lit("")

@@ -7,22 +7,23 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession
-
-from repopulse.session import apply_runtime_defaults
+from repopulse.session import apply_runtime_defaults, create_session
 from repopulse.sinks.lake import Lake
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = (
-        SparkSession.builder.master("local[8]")
-        .appName("repopulse-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "6g")
+    session = create_session(
+        "repopulse-tests",
+        {
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "6g",
+        },
     )
-    session = apply_runtime_defaults(builder.getOrCreate())
+    apply_runtime_defaults(session)
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
