@@ -298,6 +298,11 @@ def _dimension(spark: SparkSession, sf: str) -> DataFrame:
     return scd2.scd2_apply(first, _batch(spark, sf, tables.SECOND_BATCH), "user_id")
 
 
+def _shown(versions: DataFrame) -> DataFrame:
+    """The open end lies beyond what many clients hold as a timestamp: show it as text."""
+    return versions.withColumn("valid_to", F.col("valid_to").cast("string"))
+
+
 def q_scd2_changes(spark: SparkSession, sf: str) -> DataFrame:
     changes = scd2.scd2_changes(
         _batch(spark, sf, tables.FIRST_BATCH), _batch(spark, sf, tables.SECOND_BATCH), "user_id"
@@ -306,11 +311,11 @@ def q_scd2_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scd2_apply(spark: SparkSession, sf: str) -> DataFrame:
-    return _dimension(spark, sf)
+    return _shown(_dimension(spark, sf))
 
 
 def q_scd2_current(spark: SparkSession, sf: str) -> DataFrame:
-    return scd2.current_versions(_dimension(spark, sf))
+    return _shown(scd2.current_versions(_dimension(spark, sf)))
 
 
 def q_scd2_merge_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,7 +325,7 @@ def q_scd2_merge_table(spark: SparkSession, sf: str) -> DataFrame:
     for batch_time in (tables.FIRST_BATCH, tables.SECOND_BATCH, tables.SECOND_BATCH):
         lake.replace(_batch(spark, sf, batch_time), jobs.ACTOR_DETAIL_BATCH)
         scd2_merge_table(lake, lake.read(jobs.ACTOR_DETAIL_BATCH), table, "user_id")
-    return read_dimension(lake, table)
+    return _shown(read_dimension(lake, table))
 
 
 def q_pit_join(spark: SparkSession, sf: str) -> DataFrame:

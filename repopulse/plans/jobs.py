@@ -220,7 +220,8 @@ def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> None:
     previous = previous_hour(lake, REPO_HOURLY, window).select(*ranked.columns)
     if window.end - window.start > HOUR:
         previous = previous.unionByName(ranked)
-    replace_window(lake, rank_trend(ranked, previous), REPO_HOURLY, window)
+    busiest_first = [F.col("star_count").desc(), F.col("fork_count").desc()]
+    replace_window(lake, rank_trend(ranked, previous), REPO_HOURLY, window, busiest_first)
 
 
 def update_repo_metrics_daily(lake: Lake, target_date: str, top: int = metrics.DAILY_TOP) -> None:

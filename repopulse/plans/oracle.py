@@ -144,6 +144,8 @@ def _batches(first: str = FIRST, second: str = SECOND) -> str:
     )
 
 
+SHOWN = "* REPLACE (strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to)"
+
 DIMENSION = """
 dimension AS (
   SELECT o.* REPLACE (
@@ -265,7 +267,8 @@ spine AS (
   SELECT unnest(generate_series(date_trunc('hour', min(ingested_at)),
     date_trunc('hour', max(ingested_at)), INTERVAL 1 HOUR)) AS hour FROM bronze
 )
-SELECT hour, 'raw/archive/' || strftime(hour, '%Y-%m-%d-%H') || '.json.gz' AS archive_key
+SELECT hour, 'raw/archive/' || strftime(hour, '%Y-%m-%d-%H') || '.json.gz' AS archive_key,
+  strftime(hour, '%Y-%m-%d-') || extract('hour' FROM hour) || '.json.gz' AS remote_file
 FROM spine
 WHERE hour NOT IN (SELECT date_trunc('hour', ingested_at) FROM bronze WHERE type = 'WatchEvent')""",
     "q_ingest_bronze": f"""{_with(BRONZE)}
@@ -336,9 +339,9 @@ SELECT n.user_id, n.company, n.country, n.hash_diff, n.valid_from,
   CASE WHEN o.user_id IS NULL THEN 'insert' ELSE 'update' END AS change
 FROM batch2 n LEFT JOIN batch1 o ON o.user_id = n.user_id
 WHERE o.user_id IS NULL OR n.hash_diff <> o.hash_diff""",
-    "q_scd2_apply": f"{_with(_batches(), DIMENSION)} SELECT * FROM dimension",
-    "q_scd2_current": f"{_with(_batches(), DIMENSION)} SELECT * FROM dimension WHERE is_current",
-    "q_scd2_merge_table": f"{_with(_batches(), DIMENSION)} SELECT * FROM dimension",
+    "q_scd2_apply": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension",
+    "q_scd2_current": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension WHERE is_current",
+    "q_scd2_merge_table": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension",
     "q_pit_join": f"""{_with(BRONZE, SILVER, _batches(), DIMENSION)}
 SELECT event_id, actor_id, created_at, company, country, valid_from
 FROM silver e JOIN dimension d ON e.actor_id = d.user_id

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.functions.timeframes import Interval, hour_key
@@ -93,7 +93,7 @@ class Lake:
     # -- writes ----------------------------------------------------------------
 
     def overwrite_partitions(
-        self, df: DataFrame, table: str, partition: Sequence[str], sort: Sequence[str] = ()
+        self, df: DataFrame, table: str, partition: Sequence[str], sort: Sequence[str | Column] = ()
     ) -> None:
         """Replace exactly the partitions that occur in ``df``, creating the table if needed.
 
@@ -111,7 +111,7 @@ class Lake:
         )
 
     def overwrite_hours(
-        self, df: DataFrame, table: str, sort: Sequence[str] = (), column: str = "ingested_at"
+        self, df: DataFrame, table: str, sort: Sequence[str | Column] = (), column: str = "ingested_at"
     ) -> None:
         """Replace the hours that occur in ``df``: running a window again changes nothing."""
         self.overwrite_partitions(

@@ -19,8 +19,10 @@ RAW_EVENT_SCHEMA = (
     "payload STRING, created_at STRING"
 )
 
-# Fixed value: one gzip file of JSON lines per hour.
+# One gzip file of JSON lines per hour. The public archive does
+# not pad the hour in its file names, our keys do, so that they sort by time.
 ARCHIVE_KEY_FORMAT = "yyyy-MM-dd-HH"
+REMOTE_FILE_FORMAT = "yyyy-MM-dd-H"
 ARCHIVE_SUFFIX = ".json.gz"
 
 
@@ -30,6 +32,10 @@ def archive_key(hour: Column | str, folder: str = "raw/archive") -> Column:
     return F.concat(F.lit(f"{folder}/"), stamp, F.lit(ARCHIVE_SUFFIX))
 
 
+def remote_file(hour: Column | str) -> Column:
+    return F.concat(F.date_format(hour, REMOTE_FILE_FORMAT), F.lit(ARCHIVE_SUFFIX))
+
+
 def archive_path(hour: datetime, folder: str) -> str:
     return f"{folder}/{hour:%Y-%m-%d-%H}{ARCHIVE_SUFFIX}"
 
@@ -62,10 +68,12 @@ def hour_bounds(events: DataFrame, column: str = "ingested_at") -> DataFrame:
 
 
 def missing_hours(spine: DataFrame, landed: DataFrame, column: str = "ingested_at") -> DataFrame:
-    """Hours of the spine with no row landed, and the file key each would come from."""
+    """Hours of the spine with no row landed, with the file each comes from and its key here."""
     have = landed.select(hour_of(column).alias("hour")).distinct()
     return spine.join(have, "hour", "left_anti").select(
-        "hour", archive_key("hour").alias("archive_key")
+        "hour",
+        archive_key("hour").alias("archive_key"),
+        remote_file("hour").alias("remote_file"),
     )
 
 

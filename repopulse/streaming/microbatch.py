@@ -7,7 +7,9 @@ results come from replacing whole hour partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 
 from repopulse.functions.timeframes import Interval
 from repopulse.sinks.lake import Lake
@@ -21,9 +23,11 @@ def recompute_interval(interval: Interval, late_hours: int = LATE_HOURS) -> Inte
     return interval.aligned("hour").reaching_back(late_hours)
 
 
-def replace_window(lake: Lake, df: DataFrame, table: str, interval: Interval) -> None:
+def replace_window(
+    lake: Lake, df: DataFrame, table: str, interval: Interval, sort: Sequence[str | Column] = ()
+) -> None:
     """Replace the hours of ``interval`` that occur in ``df``; rows outside it are not written."""
-    lake.overwrite_hours(df.where(interval.contains("ingested_at")), table)
+    lake.overwrite_hours(df.where(interval.contains("ingested_at")), table, sort)
 
 
 def previous_hour(lake: Lake, table: str, interval: Interval) -> DataFrame:
