@@ -57,9 +57,11 @@ def q_window_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_hour_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours in which no late star landed."""
     bronze = tables.bronze_events(spark, sf)
     spine = archive.hours_in(archive.hour_bounds(bronze))
-    return archive.missing_hours(spine, bronze.where(F.col("type") == "WatchEvent"))
+    late = F.col("ingested_at") != hour_of("created_at")
+    return archive.missing_hours(spine, bronze.where((F.col("type") == "WatchEvent") & late))
 
 
 def _raw_files(spark: SparkSession, sf: str) -> str:

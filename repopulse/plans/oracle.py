@@ -270,7 +270,8 @@ spine AS (
 SELECT hour, 'raw/archive/' || strftime(hour, '%Y-%m-%d-%H') || '.json.gz' AS archive_key,
   strftime(hour, '%Y-%m-%d-') || extract('hour' FROM hour) || '.json.gz' AS remote_file
 FROM spine
-WHERE hour NOT IN (SELECT date_trunc('hour', ingested_at) FROM bronze WHERE type = 'WatchEvent')""",
+WHERE hour NOT IN (SELECT date_trunc('hour', ingested_at) FROM bronze
+  WHERE type = 'WatchEvent' AND NOT ({ON_TIME}))""",
     "q_ingest_bronze": f"""{_with(BRONZE)}
 SELECT id, type, actor_id, actor_login, repo_id, repo_name,
   '{{' || coalesce('"action":"' || action || '",', '') || '"k":' || repo_id || '}}' AS payload_raw,
