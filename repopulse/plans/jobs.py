@@ -69,12 +69,16 @@ QUALITY_RESULTS = "quality/results"
 
 
 def ingest_hour(lake: Lake, source_path: str | list[str], interval_start: str) -> int:
-    """One raw hour into bronze; returns the row count, taken while writing."""
+    """One raw hour into bronze; returns the row count, taken while writing.
+
+    An archive file is read by one task and becomes one file of its hour: the
+    payloads are never shuffled.
+    """
     stamp = ntz_literal(parse_utc(interval_start))
     bronze = as_bronze(read_raw_events(lake.spark, source_path), stamp)
     seen = Observation()
     counted = bronze.observe(seen, F.count(F.lit(1)).alias("rows"))
-    lake.overwrite_hours(counted, BRONZE_EVENTS)
+    lake.overwrite_hours(counted, BRONZE_EVENTS, balance=False)
     return seen.get["rows"]
 
 

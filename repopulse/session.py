@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Time is UTC wall clock throughout: event time columns are TIMESTAMP_NTZ, so
-# the zone matters only where text carrying an offset is parsed.
+# Time is UTC wall clock throughout: event time columns are TIMESTAMP_NTZ, and a
+# UTC session leaves them alone where Spark goes through the zoned type.
 RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

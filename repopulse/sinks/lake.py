@@ -93,30 +93,41 @@ class Lake:
     # -- writes ----------------------------------------------------------------
 
     def overwrite_partitions(
-        self, df: DataFrame, table: str, partition: Sequence[str], sort: Sequence[str | Column] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        partition: Sequence[str],
+        sort: Sequence[str | Column] = (),
+        balance: bool = True,
     ) -> None:
         """Replace exactly the partitions that occur in ``df``, creating the table if needed.
 
-        ``rebalance`` lets Spark size the files at run time: small partitions
-        are merged into one writer, an oversized one is spread over several.
+        ``balance`` lets Spark size the files at run time: small partitions are
+        merged into one writer, an oversized one is spread over several. It
+        costs a shuffle, so rows that are laid out well already go without.
         """
-        balanced = df.hint("rebalance", *[F.col(name) for name in partition])
+        if balance:
+            df = df.hint("rebalance", *[F.col(name) for name in partition])
         if sort:
-            balanced = balanced.sortWithinPartitions(*partition, *sort)
+            df = df.sortWithinPartitions(*partition, *sort)
         (
-            balanced.write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition)
             .parquet(self.path(table))
         )
 
     def overwrite_hours(
-        self, df: DataFrame, table: str, sort: Sequence[str | Column] = (), column: str = "ingested_at"
+        self,
+        df: DataFrame,
+        table: str,
+        sort: Sequence[str | Column] = (),
+        column: str = "ingested_at",
+        balance: bool = True,
     ) -> None:
         """Replace the hours that occur in ``df``: running a window again changes nothing."""
-        self.overwrite_partitions(
-            df.withColumn(HOUR_PARTITION, hour_key(column)), table, [HOUR_PARTITION], sort
-        )
+        keyed = df.withColumn(HOUR_PARTITION, hour_key(column))
+        self.overwrite_partitions(keyed, table, [HOUR_PARTITION], sort, balance)
 
     def append_hours(self, df: DataFrame, table: str, column: str = "ingested_at") -> None:
         (
@@ -154,13 +165,13 @@ class Lake:
     def merge_branch(self, name: str, tables: dict[str, Sequence[str]]) -> None:
         """Publish a branch's tables to main, partition by partition.
 
-        ``tables`` names the partition columns of each table. Publishing again
-        writes the same partitions again.
+        ``tables`` names the partition columns of each table. The branch's files
+        are copied as they are laid out; publishing again replaces the same partitions.
         """
         main = self.use_branch(MAIN)
         for table, partition in tables.items():
             staged = self.spark.read.parquet(self.path(table, name))
-            main.overwrite_partitions(staged, table, partition)
+            main.overwrite_partitions(staged, table, partition, balance=False)
 
     def delete_branch(self, name: str) -> None:
         if name in PROTECTED_BRANCHES:
