@@ -59,6 +59,8 @@ JOBS = {
         lambda lake, a: jobs.fetch_actor_details(lake, a.target_datetime, _lookup(a.lookup)),
     ),
     "merge-actor-dimension": (("target_datetime", "subdivisions", "countries"), _merge_actors),
+    "serve-hourly": (WINDOW, lambda lake, a: jobs.serve_hourly(lake, _interval(a))),
+    "serve-daily": (("target_date",), lambda lake, a: jobs.serve_daily(lake, a.target_date)),
     "stage-hourly": (
         WINDOW,
         lambda lake, a: jobs.stage_hourly(lake, _interval(a), JdbcTarget.from_conf(lake.spark)),

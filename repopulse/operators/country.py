@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repopulse.functions.text import clean_location
 from repopulse.operators.metrics import UNKNOWN_COUNTRY
+from repopulse.operators.skew import HOT_ROWS, salted_join
 
 # Countries by their own two- and three-letter codes and names.
 LOOKUP_COLUMNS = ("alpha_2", "alpha_3", "name", "official_name", "common_name")
@@ -46,14 +47,15 @@ def country_of_location(locations: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def with_country(df: DataFrame, places: DataFrame) -> DataFrame:
+def with_country(df: DataFrame, places: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``country``. Text is matched once per distinct location, not once per row.
 
-    The way back is a left join of the rows to one entry per location; a
-    location very many actors share is split by the skew-join rule, which may
-    cut the row side at will.
+    On the way back to the rows, locations that very many actors share are split,
+    and so are the rows without one.
     """
-    return df.join(country_of_location(df, places), "location", "left")
+    return salted_join(
+        df, country_of_location(df, places), ["location"], how="left", hot_rows=hot_rows
+    )
 
 
 def country_codes(countries: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ from repopulse.sinks.serving import (
     stage,
     staged_day,
     staged_window,
+    upsert_served,
 )
 from repopulse.sources.archive import as_bronze, read_raw_events
 from repopulse.streaming.microbatch import previous_hour, recompute_interval, replace_window
@@ -267,6 +268,19 @@ def merge_staged(lake: Lake, table: str, target: JdbcTarget) -> None:
     run_statements(lake.spark, target, merge_statements(table))
 
 
+def serve_hourly(lake: Lake, interval: Interval) -> None:
+    """Upsert the window's hourly metrics into the serving table kept in the lake."""
+    gold = lake.read_window(REPO_HOURLY, interval.aligned("hour"))
+    upsert_served(lake, gold, "repo_metrics_hourly")
+
+
+def serve_daily(lake: Lake, day: str) -> None:
+    """Upsert the day's metrics and contributions into the serving tables kept in the lake."""
+    date = floor_to(parse_utc(day), "day").date()
+    for source in (REPO_DAILY, CONTRIBUTION_DAILY):
+        upsert_served(lake, staged_day(lake.read(source), date), source.split("/")[-1])
+
+
 # -- chains ------------------------------------------------------------------------
 
 

@@ -395,6 +395,9 @@ served AS ({_named('early')}), staged AS ({_named('recount')})
 {_replaced('repo_id, ingested_at')}""",
     "q_oltp_upsert_daily": f"""{_with(BRONZE, SILVER, SERVED_SILVER)},
 served AS ({_daily('on_time')}), staged AS ({_daily('recounted')})
+{_replaced('repo_id, created_date')}""",
+    "q_serving_table_daily": f"""{_with(BRONZE, SILVER, SERVED_SILVER)},
+served AS ({_daily('on_time')}), staged AS ({_daily('recounted')})
 {_replaced('repo_id, created_date')}""",
     "q_oltp_upsert_contribution": f"""{_with(BRONZE, SILVER, SERVED_SILVER, _batches(), DIMENSION)},
 served AS ({_contribution('on_time')}), staged AS ({_contribution('recounted')})

@@ -66,13 +66,13 @@ class Lake:
         ``merge_schema`` opens every file's footer, so only ask for it where
         columns were added over time.
         """
-        published = self._read_path(table, self.path(table, MAIN), merge_schema)
         if self.branch == MAIN or not self._has_data(self.path(table)):
-            return published
+            return self._read_path(table, self.path(table, MAIN), merge_schema)
         staged = self._read_path(table, self.path(table), merge_schema)
         keys = [k for k in (HOUR_PARTITION, BUCKET_PARTITION) if k in staged.columns]
-        if not keys:
+        if not keys or not self._has_data(self.path(table, MAIN)):
             return staged
+        published = self._read_path(table, self.path(table, MAIN), merge_schema)
         kept = published.join(staged.select(*keys).distinct(), keys, "left_anti")
         return kept.unionByName(staged, allowMissingColumns=True)
 

@@ -26,6 +26,8 @@ TABLE_SCHEMAS = {
         "actor STRUCT<id: BIGINT, login: STRING, display_login: STRING, gravatar_id: STRING, "
         "url: STRING, avatar_url: STRING>, "
         "repo STRUCT<id: BIGINT, name: STRING, url: STRING>, "
+        "org STRUCT<id: BIGINT, login: STRING, gravatar_id: STRING, url: STRING, "
+        "avatar_url: STRING>, public BOOLEAN, "
         f"created_at STRING, payload_raw STRING, ingested_at TIMESTAMP_NTZ, {_HOUR}"
     ),
     "bronze/actor_meta": f"{_ACTOR_META}, {_HOUR}",

@@ -8,8 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.functions.timeframes import Interval, parse_utc
-from repopulse.operators.upsert import upsert_statement
+from repopulse.functions.timeframes import Interval, hour_key
+from repopulse.operators.upsert import upsert_replace, upsert_statement
+from repopulse.sinks.lake import HOUR_PARTITION, Lake
 
 # Rows per insert batch, connections writing at once.
 BATCH_ROWS = 5000
@@ -120,5 +121,20 @@ def run_statements(spark: SparkSession, target: JdbcTarget, statements: list[str
         connection.close()
 
 
-def parse_day(value: str) -> date:
-    return parse_utc(value).date()
+def upsert_served(lake: Lake, staged: DataFrame, table: str) -> None:
+    """The same merge for a serving table kept in the lake.
+
+    Only the hours or days that occur in ``staged`` are read and rewritten.
+    """
+    shape = SERVING_TABLES[table]
+    served, keys = f"serving/{table}", shape["keys"]
+    rows = staged.select(*shape["columns"])
+    partition = "created_date"
+    if "ingested_at" in keys:
+        partition = HOUR_PARTITION
+        rows = rows.withColumn(HOUR_PARTITION, hour_key("ingested_at"))
+    if lake.exists(served):
+        touched = rows.select(partition).distinct()
+        target = lake.read(served).join(touched, partition, "left_semi")
+        rows = upsert_replace(target, rows, keys)
+    lake.overwrite_partitions(rows, served, [partition])

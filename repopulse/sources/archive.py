@@ -16,7 +16,8 @@ RAW_EVENT_SCHEMA = (
     "actor STRUCT<id: BIGINT, login: STRING, display_login: STRING, gravatar_id: STRING, "
     "url: STRING, avatar_url: STRING>, "
     "repo STRUCT<id: BIGINT, name: STRING, url: STRING>, "
-    "payload STRING, created_at STRING"
+    "org STRUCT<id: BIGINT, login: STRING, gravatar_id: STRING, url: STRING, avatar_url: STRING>, "
+    "payload STRING, public BOOLEAN, created_at STRING"
 )
 
 # One gzip file of JSON lines per hour. The public archive does

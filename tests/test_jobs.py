@@ -149,6 +149,14 @@ def test_three_hours_and_a_day(spark, lake, files):
         (100, "KOR"): (2, 0, 0), (200, "KOR"): (1, 1, 0), (100, "USA"): (1, 0, 1),
     }
 
+    for _ in range(2):
+        for hour in HOURS:
+            jobs.serve_hourly(lake, Interval.hour(hour))
+        jobs.serve_daily(lake, "2026-03-03")
+    assert lake.read("serving/repo_metrics_hourly").count() == len(hourly)
+    assert lake.read("serving/repo_metrics_daily").count() == 3
+    assert lake.read("serving/repo_contribution_metrics_daily").count() == 3
+
 
 def test_replaying_an_hour_changes_nothing(spark, lake, files):
     for i, hour in enumerate(HOURS):

@@ -240,13 +240,14 @@ def places(spark):
     )
 
 
-def test_country_of_free_text(spark):
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_country_of_free_text(spark, hot_rows):
     rows = [
         (1, "(Seoul), KR"), (2, "texas or seoul"), (3, "New York"), (4, ""), (5, "null"),
         (6, None), (7, "Seoulful"), (8, "TEXAS"), (9, "(Seoul), KR"),
     ]
     df = spark.createDataFrame(rows, "user_id INT, location STRING")
-    out = {r.user_id: r.country for r in country.with_country(df, places(spark)).collect()}
+    out = {r.user_id: r.country for r in country.with_country(df, places(spark), hot_rows).collect()}
     assert out == {
         1: "Korea", 2: "Korea", 3: None, 4: None, 5: None, 6: None, 7: None,
         8: "United States", 9: "Korea",

@@ -50,7 +50,7 @@ def test_global_rank_sends_only_slice_sizes_to_one_partition(spark):
 NOT_PLANNED = {
     "q_ingest_bronze", "q_ingest_to_silver", "q_upsert_repo_master", "q_scd2_merge_table",
     "q_sink_roundtrip", "q_partition_overwrite", "q_recompute_window", "q_schema_evolve",
-    "q_wap_publish", "q_partition_enrich",
+    "q_serving_table_daily", "q_wap_publish", "q_partition_enrich",
 }
 
 
