@@ -21,7 +21,6 @@ def salted_join(
     *,
     condition: Column | None = None,
     how: str = "inner",
-    split_by: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on ``on`` (same names on both sides); ``how`` is inner or left.
@@ -49,7 +48,7 @@ def salted_join(
 
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
-    spread = F.xxhash64(*(split_by or left.columns), F.spark_partition_id())
+    spread = F.xxhash64(*left.columns, F.spark_partition_id())
     salted_left = (
         left.join(heavy, on, "left")
         .withColumn("_salt", F.pmod(spread, F.when(no_key, NULL_KEY_SALTS).otherwise(salts)).cast("int"))

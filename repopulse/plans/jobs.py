@@ -5,9 +5,9 @@ Every job may run again for the same window with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repopulse.functions.timeframes import HOUR, Interval, floor_to, hour_key, ntz_literal, parse_utc
@@ -69,6 +69,13 @@ QUALITY_RESULTS = "quality/results"
 # -- ingest ----------------------------------------------------------------------
 
 
+def _counted(df: DataFrame, **totals: Column) -> tuple[DataFrame, Observation]:
+    """Count rows (or other totals) while they are written, without another pass."""
+    seen = Observation()
+    totals = totals or {"rows": F.count(F.lit(1))}
+    return df.observe(seen, *[total.alias(name) for name, total in totals.items()]), seen
+
+
 def ingest_hour(lake: Lake, source_path: str | list[str], interval_start: str) -> int:
     """One raw hour into bronze; returns the row count, taken while writing.
 
@@ -77,9 +84,8 @@ def ingest_hour(lake: Lake, source_path: str | list[str], interval_start: str) -
     """
     stamp = ntz_literal(parse_utc(interval_start))
     bronze = as_bronze(read_raw_events(lake.spark, source_path), stamp)
-    seen = Observation()
-    counted = bronze.observe(seen, F.count(F.lit(1)).alias("rows"))
-    lake.overwrite_hours(counted, BRONZE_EVENTS, balance=False)
+    bronze, seen = _counted(bronze)
+    lake.overwrite_hours(bronze, BRONZE_EVENTS, balance=False)
     return seen.get["rows"]
 
 
@@ -117,14 +123,23 @@ def ingest_hour_gated(
     return rows
 
 
-def extract_actor_meta(lake: Lake, interval: Interval) -> None:
-    window = lake.read_window(BRONZE_EVENTS, interval.aligned("hour"))
-    lake.overwrite_hours(actor_attributes(window), ACTOR_META)
+def _extract_meta(
+    lake: Lake, interval: Interval, attributes: Callable[[DataFrame], DataFrame], table: str
+) -> int:
+    meta = attributes(lake.read_window(BRONZE_EVENTS, interval.aligned("hour")))
+    meta, seen = _counted(meta)
+    lake.overwrite_hours(meta, table)
+    return seen.get["rows"]
 
 
-def extract_repo_meta(lake: Lake, interval: Interval) -> None:
-    window = lake.read_window(BRONZE_EVENTS, interval.aligned("hour"))
-    lake.overwrite_hours(repo_attributes(window), REPO_META)
+def extract_actor_meta(lake: Lake, interval: Interval) -> int:
+    """Actor attributes of the window's events; returns how many rows."""
+    return _extract_meta(lake, interval, actor_attributes, ACTOR_META)
+
+
+def extract_repo_meta(lake: Lake, interval: Interval) -> int:
+    """Repo attributes of the window's events; returns how many rows."""
+    return _extract_meta(lake, interval, repo_attributes, REPO_META)
 
 
 # -- silver ----------------------------------------------------------------------
@@ -217,8 +232,8 @@ def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:
 # -- gold ------------------------------------------------------------------------
 
 
-def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> None:
-    """Counts, ranks and movement for every hour of the interval."""
+def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> dict[str, int]:
+    """Counts, ranks and movement for every hour of the interval; returns stars and forks seen."""
     window = interval.aligned("hour")
     counts = metrics.hourly_star_fork_counts(lake.read_window(SILVER_EVENTS, window))
     ranked = metrics.with_repo_names(with_star_and_fork_ranks(counts), lake.read(REPO_MASTER))
@@ -226,7 +241,13 @@ def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> None:
     if window.end - window.start > HOUR:
         previous = previous.unionByName(ranked)
     busiest_first = [F.col("star_count").desc(), F.col("fork_count").desc()]
-    replace_window(lake, rank_trend(ranked, previous), REPO_HOURLY, window, busiest_first)
+    result, seen = _counted(
+        rank_trend(ranked, previous),
+        stars=F.coalesce(F.sum("star_count"), F.lit(0)),
+        forks=F.coalesce(F.sum("fork_count"), F.lit(0)),
+    )
+    replace_window(lake, result, REPO_HOURLY, window, busiest_first)
+    return seen.get
 
 
 def update_repo_metrics_daily(lake: Lake, target_date: str, top: int = metrics.DAILY_TOP) -> None:

@@ -12,9 +12,9 @@ from repopulse.functions.timeframes import Interval, hour_key
 from repopulse.operators.upsert import upsert_replace, upsert_statement
 from repopulse.sinks.lake import HOUR_PARTITION, Lake
 
-# Rows per insert batch, connections writing at once.
+# Rows per insert batch, and the most connections that write at once.
 BATCH_ROWS = 5000
-WRITE_CONNECTIONS = 1
+WRITE_CONNECTIONS = 8
 
 # Columns and keys of the serving tables.
 SERVING_TABLES = {

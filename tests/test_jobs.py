@@ -175,7 +175,8 @@ def test_backfill_equals_hour_by_hour(spark, lake, files):
         jobs.run_hour(lake, files[hour], hour, f"run-{i}")
     by_hour = {k: v[1:] for k, v in gold(lake).items()}
     lake.drop(jobs.REPO_HOURLY)
-    jobs.update_repo_metrics_hourly(lake, Interval.of(H10, "2026-03-03T13:00:00"))
+    seen = jobs.update_repo_metrics_hourly(lake, Interval.of(H10, "2026-03-03T13:00:00"))
+    assert seen == {"stars": 6, "forks": 2}
     assert {k: v[1:] for k, v in gold(lake).items()} == by_hour
 
 

@@ -29,6 +29,9 @@ def test_jobs_from_the_command_line(spark, lake, tmp_path, capsys):
     for job in ("extract-actor-meta", "extract-repo-meta", "load-actor-master", "load-repo-master",
                 "transform-silver", "repo-metrics-hourly"):
         cli.main([job, *root, *window])
+    printed = capsys.readouterr().out.splitlines()
+    assert "extract-actor-meta: 1" in printed
+    assert "repo-metrics-hourly: {'stars': 1, 'forks': 0}" in printed
     cli.main(["repo-metrics-daily", *root, "--target_date", "2026-03-03"])
     assert lake.read(jobs.REPO_HOURLY).first().repo_name == "r"
     assert lake.read(jobs.REPO_DAILY).first().star_count == 1
