@@ -422,12 +422,18 @@ def q_repo_metrics_hourly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def q_hourly_top20(spark: SparkSession, sf: str) -> DataFrame:
-    counts = _hourly_counts(spark, sf)
-    ranked = rank.distributed_ranks(
-        counts, {"star_rank": "star_count"}, "repo_id", ["ingested_at"]
+def _star_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return rank.distributed_ranks(
+        _hourly_counts(spark, sf), {"star_rank": "star_count"}, "repo_id", ["ingested_at"]
     )
-    return metrics.hourly_top(ranked)
+
+
+def q_hourly_top20(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.hourly_top(_star_ranked(spark, sf))
+
+
+def q_hourly_top3(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.hourly_top(_star_ranked(spark, sf), 3)
 
 
 def q_repo_metrics_daily(spark: SparkSession, sf: str) -> DataFrame:

@@ -382,6 +382,9 @@ SELECT * FROM hourly""",
     "q_hourly_top20": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
 SELECT repo_id, ingested_at, star_count, fork_count, star_rank
 FROM hourly_ranked WHERE star_rank <= {HOURLY_TOP}""",
+    "q_hourly_top3": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
+SELECT repo_id, ingested_at, star_count, fork_count, star_rank
+FROM hourly_ranked WHERE star_rank <= 3""",
     "q_repo_metrics_daily": f"{_with(BRONZE, SILVER)} {_daily('silver')}",
     "q_repo_metrics_daily_top500": f"""{_with(BRONZE, SILVER)}
 {_daily('silver')} ORDER BY star_count DESC, repo_id, created_date LIMIT {DAILY_TOP}""",

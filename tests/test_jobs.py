@@ -135,6 +135,9 @@ def test_three_hours_and_a_day(spark, lake, files):
     current = {r.user_id: (r.company, r.country_code) for r in jobs.register_actor_view(lake).collect()}
     assert current == {1: ("Acme1", "KOR"), 2: ("Acme2", "USA"), 3: ("Acme3", "UNKNOWN")}
 
+    versions = read_dimension(lake, jobs.ACTOR_DETAIL)
+    assert versions.count() == 3 and versions.where("is_current").count() == 3
+
     jobs.run_day(lake, "2026-03-03")
     daily = {r.repo_id: r for r in lake.read(jobs.REPO_DAILY).collect()}
     top = daily[100]
