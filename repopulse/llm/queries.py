@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import token_files
+from repopulse.llm import packing, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = vocabulary_path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
+
+
 def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     vocabulary = vocabulary_path("byte_bpe_50k.json")
@@ -17,5 +22,5 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(token_files.read_token_files(spark, path))
 
 
-QUERIES = {q.__name__: q for q in (op10_rans_token_files,)}
+QUERIES = {q.__name__: q for q in (op4_best_fit_packing, op10_rans_token_files)}
 ORACLE: dict[str, str] = {}
