@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import packing, token_files
+from repopulse.llm import licenses, packing, secrets, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
 
 
+def op1_zstd_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = vocabulary_path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
 
 
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(licenses.find_licenses(table(spark, sf_dir, "documents")))
+
+
 def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     vocabulary = vocabulary_path("byte_bpe_50k.json")
@@ -22,5 +30,13 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(token_files.read_token_files(spark, path))
 
 
-QUERIES = {q.__name__: q for q in (op4_best_fit_packing, op10_rans_token_files)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_zstd_secret_scan,
+        op4_best_fit_packing,
+        op9_license_rules,
+        op10_rans_token_files,
+    )
+}
 ORACLE: dict[str, str] = {}
