@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import licenses, packing, secrets, token_files
+from repopulse.llm import fingerprints, language, licenses, packing, secrets, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -19,6 +19,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
 
 
+def op6_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_language(docs, language.learn(docs))
+
+
+def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(licenses.find_licenses(table(spark, sf_dir, "documents")))
 
@@ -27,7 +36,7 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     vocabulary = vocabulary_path("byte_bpe_50k.json")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary, end_id=2)
-    return token_files.token_digest(token_files.read_token_files(spark, path))
+    return token_files.read_token_files(spark, path, with_ids=False)
 
 
 QUERIES = {
@@ -35,6 +44,8 @@ QUERIES = {
     for query in (
         op1_zstd_secret_scan,
         op4_best_fit_packing,
+        op6_hierarchical_language,
+        op8_chunk_fingerprints,
         op9_license_rules,
         op10_rans_token_files,
     )
