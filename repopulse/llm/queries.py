@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import fingerprints, language, licenses, packing, secrets, token_files
+from repopulse.llm import fingerprints, language, licenses, packing, quality, secrets, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -24,6 +24,11 @@ def op6_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, language.learn(docs))
 
 
+def op7_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
         op1_zstd_secret_scan,
         op4_best_fit_packing,
         op6_hierarchical_language,
+        op7_rule_ensemble_quality,
         op8_chunk_fingerprints,
         op9_license_rules,
         op10_rans_token_files,
