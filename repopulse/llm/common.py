@@ -15,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a table in the shared scratch folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name) + "/table"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

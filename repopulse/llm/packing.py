@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from repopulse.llm.bin_completion import pack_histogram
 from repopulse.llm.common import per_row, stored, texts_of
-from repopulse.llm.tokens import TextEncoder
+from repopulse.llm.tokens import shared_encoder
 
 CAPACITY = 4096
 SLICE_PIECES = 20_000
@@ -47,7 +47,7 @@ def pieces_of(
     width = 4 * capacity
 
     def cutter():
-        encoder = TextEncoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
 
         def rows_of(doc_id, text):
             ids = encoder.encode(text) + end

@@ -22,8 +22,8 @@ import numpy as np
 
 MAGIC = b"RNS1"
 PRECISION = 20
-LANES = 512
-CHECKPOINT_STEPS = 128
+LANES = 1024
+CHECKPOINT_STEPS = 256
 
 _HEAD = struct.Struct("<4sHHIIIII")
 _LOW = np.uint64(1 << 31)

@@ -21,18 +21,19 @@ A document longer than a block is a block of its own.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import rans
 from repopulse.llm.common import _arrow_schema, per_row, stored, texts_of, to_batch
-from repopulse.llm.tokens import TextEncoder
+from repopulse.llm.tokens import shared_encoder
 
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 
 _PLACE = (
     "part int, block int, first_token long, n_tokens int, "
@@ -52,7 +53,9 @@ def write_token_files(
     text_col: str = "text",
 ) -> None:
     """Tokenise whole texts and write the files under ``path``."""
-    raw = stored(_raw_blocks(docs, vocabulary, end_id, block_tokens, id_col, text_col), "raw-tokens")
+    raw = stored(
+        _raw_blocks(docs, vocabulary, end_id, block_tokens, id_col, text_col), "raw-tokens", "zstd"
+    )
     counts = _symbol_counts(raw)
     symbols = np.array([row["symbol"] for row in counts], dtype=np.int64)
     dense = np.zeros(int(symbols.max()) + 1 if len(symbols) else 0, dtype=np.int64)
@@ -74,13 +77,20 @@ def write_token_files(
     ).coalesce(1).write.parquet(f"{path}/model")
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens``, ``ids`` (little-endian u32) of every document."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, and its
+    ``ids`` (little-endian u32) if asked for."""
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     model_rows = spark.read.schema("symbol int, freq int").parquet(f"{path}/model")
     rows = model_rows.orderBy("symbol").collect()  # at most the vocabulary
     freq = np.zeros(rows[-1]["symbol"] + 1 if rows else 0, dtype=np.uint32)
     freq[[row["symbol"] for row in rows]] = [row["freq"] for row in rows]
+    # One row per part; parts are as many as the partitions that wrote the files.
+    parts = blocks.groupBy("part").agg(F.sum(F.col("n_tokens").cast("long")).alias("n"))
+    before, total = {}, 0
+    for row in parts.orderBy("part").collect():
+        before[row["part"]] = total
+        total += row["n"]
 
     def decoder():
         model = rans.Model(freq)
@@ -89,33 +99,21 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             ids = rans.decode_block(payload, model).astype("<u4")
             at, out = 0, []
             for doc_id, n in zip(doc_ids, doc_tokens):
-                out.append((part, doc_id, first + at, n, ids[at : at + n].tobytes()))
+                own = ids[at : at + n].tobytes()
+                row = (doc_id, before[part] + first + at, n, zlib.crc32(own))
+                out.append((*row, own) if with_ids else row)
                 at += n
             return out
 
         return rows_of
 
-    decoded = per_row(
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return per_row(
         blocks,
-        "part int, doc_id long, in_part long, n_tokens long, ids binary",
+        schema + ", ids binary" if with_ids else schema,
         ("part", "first_token", "doc_ids", "doc_tokens", "payload"),
         decoder,
     )
-    # One row per part; parts are as many as the partitions that wrote the files.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        blocks.groupBy("part")
-        .agg(F.sum(F.col("n_tokens").cast("long")).alias("tokens"))
-        .select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("before"))
-    )
-    return decoded.join(parts, "part").select(
-        "doc_id", (F.col("before") + F.col("in_part")).alias("start"), "n_tokens", "ids"
-    )
-
-
-def token_digest(read: DataFrame) -> DataFrame:
-    """The rows of :func:`read_token_files` with a checksum in place of the ids."""
-    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def _raw_blocks(docs, vocabulary, end_id, block_tokens, id_col, text_col) -> DataFrame:
@@ -129,15 +127,16 @@ def _raw_blocks(docs, vocabulary, end_id, block_tokens, id_col, text_col) -> Dat
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         part, number, first = 0, 0, 0
         doc_ids: list = []
         lengths: list[int] = []
         held: list[bytes] = []
 
         def block() -> pa.RecordBatch:
+            ids = _narrow(np.frombuffer(b"".join(held), dtype="<u4"))
             return to_batch(
-                [(part, number, first, sum(lengths), doc_ids, lengths, b"".join(held))], schema
+                [(part, number, first, sum(lengths), doc_ids, lengths, ids)], schema
             )
 
         for batch in batches:
@@ -176,5 +175,11 @@ def _symbol_counts(raw: DataFrame) -> list:
     return sums.groupBy("symbol").agg(F.sum("n").alias("n")).collect()
 
 
+def _narrow(ids: np.ndarray) -> bytes:
+    """The ids in two bytes each if they fit, after a byte that names the width."""
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
+
+
 def _ids(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, dtype="<u4")
+    return np.frombuffer(packed, dtype=f"<u{packed[0]}", offset=1).astype(np.uint32)

@@ -12,8 +12,9 @@ import os
 import re
 import sys
 from array import array
+from functools import cache
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
 LONGEST_CACHED = 64
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -89,6 +90,12 @@ def _packed(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+@cache
+def shared_encoder(vocabulary: str) -> TextEncoder:
+    """One encoder per Python worker, so that its cache outlives a task."""
+    return TextEncoder(vocabulary)
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public vocabulary lies on this machine; executors have it at the same place."""
     import public_tokenizers
