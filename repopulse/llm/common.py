@@ -69,3 +69,11 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front so that no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
