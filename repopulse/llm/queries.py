@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import fingerprints, language, licenses, packing, quality, secrets, token_files
+from repopulse.llm import fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -14,11 +14,20 @@ def op1_zstd_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = vocabulary_path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
 
 
+def op5_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op6_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict_language(docs, language.learn(docs))
@@ -48,7 +57,9 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_zstd_secret_scan,
+        op2_hyperminhash_near_dedup,
         op4_best_fit_packing,
+        op5_winnowed_line_dedup,
         op6_hierarchical_language,
         op7_rule_ensemble_quality,
         op8_chunk_fingerprints,
@@ -56,4 +67,7 @@ QUERIES = {
         op10_rans_token_files,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_hyperminhash_near_dedup": near_dedup.ORACLE,
+    "op5_winnowed_line_dedup": line_dedup.ORACLE,
+}
