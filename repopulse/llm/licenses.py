@@ -154,6 +154,15 @@ def _longest_word(pattern: str) -> str:
     return max(re.findall(r"(?<![(|?])\b[a-z]+\b(?![)|?])", pattern), key=len)
 
 
+def _flat(text: str) -> bytes:
+    return text.encode("utf-8", "replace").translate(_TO_WORDS)
+
+
+def words_of(text: str) -> list[bytes]:
+    """The words of a text as UTF-8."""
+    return _flat(text).split()
+
+
 class Scanner:
     def __init__(self) -> None:
         import ahocorasick
@@ -170,7 +179,7 @@ class Scanner:
 
     def scan(self, text: str) -> tuple[int, list[tuple[str, int]], list[Detection]]:
         """Number of words, base phrases as (label, first word), detections."""
-        flat = text.encode("utf-8", "replace").translate(_TO_WORDS)
+        flat = _flat(text)
         words = flat.split()
         if not any(root in flat for root in _ROOTS):
             return len(words), [], []

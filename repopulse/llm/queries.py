@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files
+from repopulse.llm import decontaminate, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -18,6 +19,11 @@ def op2_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.find_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_seeded_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.find_leaks(docs, benchmark)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = vocabulary_path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
@@ -53,11 +59,16 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, with_ids=False)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_zstd_secret_scan,
         op2_hyperminhash_near_dedup,
+        op3_seeded_decontamination,
         op4_best_fit_packing,
         op5_winnowed_line_dedup,
         op6_hierarchical_language,
@@ -65,6 +76,7 @@ QUERIES = {
         op8_chunk_fingerprints,
         op9_license_rules,
         op10_rans_token_files,
+        pipeline,
     )
 }
 ORACLE = {
