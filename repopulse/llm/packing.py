@@ -27,7 +27,7 @@ from repopulse.llm.common import per_row, stored, texts_of
 from repopulse.llm.tokens import shared_encoder
 
 CAPACITY = 4096
-SLICE_PIECES = 20_000
+SLICE_PIECES = 1_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = "sequence_id long, offset long"
@@ -72,8 +72,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_pieces: int = SLICE_
     }  # at most one entry per length up to the capacity
     places = _places(pack_histogram(counts, capacity))
 
-    slices = max(1, -(-max(counts.values(), default=0) // slice_pieces))
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(slices)).cast("int")
+    # How many slices each length has, by length: one number per length up to the capacity.
+    slices = [1 - counts.get(n, 0) // -slice_pieces for n in range(capacity + 1)]
+    own = F.element_at(F.array(*map(F.lit, slices)), F.col("length").cast("int") + 1)
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), own).cast("int")
     salted = pieces.withColumn("_slice", salt)
     in_slice = Window.partitionBy("length", "_slice").orderBy("doc_id", "piece")
     before = (
