@@ -39,6 +39,10 @@ JOBS = {
         ("source_path", "data_interval_start", "run_id"),
         lambda lake, a: jobs.ingest_hour_gated(lake, a.source_path, a.data_interval_start, a.run_id),
     ),
+    "load-missing-hours": (
+        ("archive_folder", *WINDOW, "run_id"),
+        lambda lake, a: jobs.load_missing_hours(lake, a.archive_folder, _interval(a), a.run_id),
+    ),
     "check-events": (
         (*WINDOW, "run_id", "mode"),
         lambda lake, a: jobs.check_events(lake, _interval(a), a.run_id, mode=a.mode),
@@ -51,7 +55,7 @@ JOBS = {
     "repo-metrics-hourly": (WINDOW, lambda lake, a: jobs.update_repo_metrics_hourly(lake, _interval(a))),
     "repo-metrics-daily": (
         ("target_date",),
-        lambda lake, a: jobs.update_repo_metrics_daily(lake, a.target_date),
+        lambda lake, a: jobs.update_repo_metrics_daily(lake, Interval.day(a.target_date)),
     ),
     "contribution-daily": (WINDOW, lambda lake, a: jobs.update_contribution_daily(lake, _interval(a))),
     "fetch-actor-details": (
@@ -90,14 +94,13 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name)
         for argument in ("lake", *arguments):
             command.add_argument(f"--{argument}", required=True)
-        command.add_argument("--branch", default="main")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = create_session(f"repopulse-{args.job}")
-    result = JOBS[args.job][1](Lake(spark, args.lake, args.branch), args)
+    result = JOBS[args.job][1](Lake(spark, args.lake), args)
     if result is not None:
         print(f"{args.job}: {result}")
 

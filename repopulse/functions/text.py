@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 COMPANY_LEADING_AT = r"^@"
 COMPANY_DROPPED_CHARACTERS = r"[^\p{L}\p{N}\s\-_&,().]"
 LOCATION_PUNCTUATION = r"[()\[\],]"
+UNICODE_BLANKS = r"(?U)\s+"
 EMPTY_LOCATION_WORDS = ("null", "none", "nan", "")
 CHANGE_HASH_SEPARATOR = "|"
 CHANGE_HASH_COLUMNS = ("name", "country", "company")
@@ -32,7 +33,7 @@ def clean_location(location: Column | str) -> Column:
     """Brackets and commas to blanks, blanks squeezed; filler words to null."""
     col = F.col(location) if isinstance(location, str) else location
     spaced = F.regexp_replace(col, LOCATION_PUNCTUATION, " ")
-    squeezed = F.trim(F.regexp_replace(spaced, r"\s+", " "))
+    squeezed = F.trim(F.regexp_replace(spaced, UNICODE_BLANKS, " "))
     return F.when(~F.lower(col).isin(*EMPTY_LOCATION_WORDS), squeezed)
 
 

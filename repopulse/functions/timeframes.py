@@ -63,16 +63,16 @@ class Interval:
         """The stretch of ``hours`` hours that ends where this interval starts."""
         return Interval(self.start - hours * HOUR, self.start)
 
+    def hour_keys(self) -> list[int]:
+        """The keys of all hours the interval touches."""
+        first = floor_to(self.start, "hour")
+        hours = -(-(self.end - first) // HOUR) if self.end > self.start else 0
+        return [hour_key_of(first + n * HOUR) for n in range(hours)]
+
     def contains(self, column: Column | str) -> Column:
         col = F.col(column) if isinstance(column, str) else column
         return (col >= ntz_literal(self.start)) & (col < ntz_literal(self.end))
 
-    def covers_hour_key(self, column: Column | str) -> Column:
-        """The same bounds on the integer hour key, for partition pruning."""
-        col = F.col(column) if isinstance(column, str) else column
-        last = floor_to(self.end - timedelta(microseconds=1), "hour")
-        return (col >= F.lit(hour_key_of(self.start))) & (col <= F.lit(hour_key_of(last)))
-
 
 def ntz_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

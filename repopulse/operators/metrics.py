@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repopulse.functions.timeframes import hour_of
@@ -74,6 +74,16 @@ def top_repos(daily: DataFrame, n: int = DAILY_TOP) -> DataFrame:
     return daily.orderBy(F.col("star_count").desc(), "repo_id", "created_date").limit(n)
 
 
+def top_repos_each_day(daily: DataFrame, n: int = DAILY_TOP) -> DataFrame:
+    """Most starred repos of each date, ties by repo_id."""
+    busiest_first = Window.partitionBy("created_date").orderBy(F.col("star_count").desc(), "repo_id")
+    return (
+        daily.withColumn("_position", F.row_number().over(busiest_first))
+        .where(F.col("_position") <= n)
+        .drop("_position")
+    )
+
+
 def known_countries(versions: DataFrame) -> DataFrame:
     code = F.col("country_code")
     return versions.where(code.isNotNull() & (code != UNKNOWN_COUNTRY))

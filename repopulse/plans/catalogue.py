@@ -15,7 +15,14 @@ from repopulse.functions.text import (
     strip_company,
     user_node_id,
 )
-from repopulse.functions.timeframes import Interval, hour_key, hour_of, ntz_literal
+from repopulse.functions.timeframes import (
+    DAY,
+    HOUR,
+    Interval,
+    hour_key,
+    hour_of,
+    ntz_literal,
+)
 from repopulse.operators import country, enrich, events, metrics, quality, rank, scd2, upsert
 from repopulse.operators.actors import prepare_actor_details
 from repopulse.operators.latest import latest_per_key
@@ -444,6 +451,42 @@ def q_repo_metrics_daily_top500(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.top_repos(q_repo_metrics_daily(spark, sf))
 
 
+def _silver_lake(spark: SparkSession, silver: DataFrame, name: str) -> Lake:
+    lake = _lake(spark, name)
+    lake.overwrite_partitions(
+        silver.withColumn(HOUR_PARTITION, hour_key("ingested_at")),
+        jobs.SILVER_EVENTS,
+        ["event_type", HOUR_PARTITION],
+    )
+    return lake
+
+
+def _all_hours(silver: DataFrame) -> Interval:
+    row = archive.hour_bounds(silver).first()
+    return Interval(row.first_hour, row.last_hour + HOUR)
+
+
+def q_repo_metrics_daily_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job over all days, in two runs that late events cross between."""
+    lake = _silver_lake(spark, tables.silver_events(spark, sf), "daily-job")
+    days = _all_hours(lake.read(jobs.SILVER_EVENTS))
+    middle = FORTNIGHT.aligned("day").start
+    for run in (Interval(days.start, middle), Interval(middle, days.end + DAY)):
+        jobs.update_repo_metrics_daily(lake, run, top=None)
+    return lake.read(jobs.REPO_DAILY)
+
+
+def q_repo_metrics_hourly_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly gold computed without late events, then again for the hours after they came."""
+    silver = tables.silver_events(spark, sf)
+    lake = _silver_lake(spark, _on_time(silver), "hourly-late")
+    whole = _all_hours(silver)
+    jobs.update_repo_metrics_hourly(lake, whole)
+    replace_window(lake, silver, jobs.SILVER_EVENTS, whole, outer=["event_type"])
+    jobs.update_repo_metrics_hourly(lake, whole)
+    return lake.read(jobs.REPO_HOURLY).drop(HOUR_PARTITION, "repo_name")
+
+
 # -- serving -----------------------------------------------------------------------------
 
 
@@ -552,17 +595,17 @@ def q_schema_evolve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_wap_publish(spark: SparkSession, sf: str) -> DataFrame:
-    """Two branches: the one with doubled events fails its checks and is dropped."""
+    """Two staged batches: the one with doubled events fails its checks and is discarded."""
     bronze = tables.bronze_events(spark, sf)
     lake = _lake(spark, "wap")
     attempts = {"doubled": bronze.unionByName(bronze), "clean": bronze}
     for name, batch in attempts.items():
-        branch = lake.create_branch(name)
-        branch.overwrite_hours(batch, jobs.BRONZE_EVENTS)
-        report = quality.run_checks(branch.read(jobs.BRONZE_EVENTS), quality.EVENT_CHECKS, name)
+        staged = lake.staging(name)
+        staged.overwrite_hours(batch, jobs.BRONZE_EVENTS)
+        report = quality.run_checks(staged.read(jobs.BRONZE_EVENTS), quality.EVENT_CHECKS, name)
         if not quality.failed_checks(report):
-            lake.merge_branch(name, {jobs.BRONZE_EVENTS: [HOUR_PARTITION]})
-        lake.delete_branch(name)
+            lake.publish(staged, [jobs.BRONZE_EVENTS])
+        staged.discard()
     return lake.read(jobs.BRONZE_EVENTS).select("id", "type", "created_at", "ingested_at")
 
 

@@ -6,11 +6,20 @@ Every job may run again for the same window with the same result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from repopulse.functions.timeframes import HOUR, Interval, floor_to, hour_key, ntz_literal, parse_utc
+from repopulse.functions.timeframes import (
+    DAY,
+    HOUR,
+    Interval,
+    floor_to,
+    hour_key_of,
+    ntz_literal,
+    parse_utc,
+)
 from repopulse.operators import metrics
 from repopulse.operators.actors import prepare_actor_details
 from repopulse.operators.enrich import (
@@ -47,10 +56,24 @@ from repopulse.sinks.serving import (
     staged_window,
     upsert_served,
 )
-from repopulse.sources.archive import as_bronze, read_raw_events
-from repopulse.streaming.microbatch import previous_hour, recompute_interval, replace_window
+from repopulse.sources.archive import (
+    archive_path,
+    as_bronze,
+    hours_of_interval,
+    malformed,
+    missing_hours,
+    read_raw_events,
+    well_formed,
+)
+from repopulse.streaming.microbatch import (
+    LATE_HOURS,
+    previous_hour,
+    recompute_interval,
+    replace_window,
+)
 
 BRONZE_EVENTS = "bronze/events"
+MALFORMED = "bronze/malformed_lines"
 ACTOR_META = "bronze/actor_meta"
 REPO_META = "bronze/repo_meta"
 ACTOR_DETAIL_RAW = "bronze/actor_detail_raw"
@@ -80,12 +103,13 @@ def ingest_hour(lake: Lake, source_path: str | list[str], interval_start: str) -
     """One raw hour into bronze; returns the row count, taken while writing.
 
     An archive file is read by one task and becomes one file of its hour: the
-    payloads are never shuffled.
+    payloads are never shuffled. Lines that are no JSON object go to a side table.
     """
     stamp = ntz_literal(parse_utc(interval_start))
-    bronze = as_bronze(read_raw_events(lake.spark, source_path), stamp)
-    bronze, seen = _counted(bronze)
+    raw = read_raw_events(lake.spark, source_path)
+    bronze, seen = _counted(as_bronze(well_formed(raw), stamp))
     lake.overwrite_hours(bronze, BRONZE_EVENTS, balance=False)
+    lake.overwrite_hours(malformed(raw).withColumn("ingested_at", stamp), MALFORMED, balance=False)
     return seen.get["rows"]
 
 
@@ -103,8 +127,7 @@ def check_events(
     report = run_checks(window, tuple(checks), run_id).withColumn("run", F.lit(run_id))
     # One partition per run: running it again replaces its report.
     lake.overwrite_partitions(report, QUALITY_RESULTS, ["run"])
-    written = lake.spark.read.parquet(lake.path(QUALITY_RESULTS)).where(F.col("run_id") == run_id)
-    failures = failed_checks(written)
+    failures = failed_checks(lake.read_partition(QUALITY_RESULTS, f"run={run_id}"))
     if failures and mode == "fail":
         raise QualityError("; ".join(failures))
     return failures
@@ -113,16 +136,31 @@ def check_events(
 def ingest_hour_gated(
     lake: Lake, source_path: str | list[str], interval_start: str, run_id: str
 ) -> int:
-    """Write-audit-publish: the hour lands on a branch and reaches main only if all checks pass."""
-    branch = f"ingest-{run_id}"
-    audit = lake.create_branch(branch)
-    rows = ingest_hour(audit, source_path, interval_start)
-    check_events(audit, Interval.hour(interval_start), run_id)
-    lake.merge_branch(branch, {BRONZE_EVENTS: [HOUR_PARTITION], QUALITY_RESULTS: ["run"]})
-    lake.delete_branch(branch)
+    """Write-audit-publish: the hour lands in a side folder and is moved in if all checks pass."""
+    staged = lake.staging(f"ingest-{run_id}")
+    staged.discard()
+    rows = ingest_hour(staged, source_path, interval_start)
+    check_events(staged, Interval.hour(interval_start), run_id)
+    lake.publish(staged, [BRONZE_EVENTS, MALFORMED, QUALITY_RESULTS])
+    staged.discard()
     return rows
 
 
+def hours_to_load(lake: Lake, interval: Interval) -> list[str]:
+    """Starts of the interval's hours that bronze does not hold, in order."""
+    landed = lake.read_window(BRONZE_EVENTS, interval.aligned("hour")).select("ingested_at")
+    missing = missing_hours(hours_of_interval(lake.spark, interval), landed)
+    return [row.hour.isoformat() for row in missing.orderBy("hour").collect()]
+
+
+def load_missing_hours(lake: Lake, folder: str, interval: Interval, run_id: str) -> int:
+    """Ingest every hour of the interval that is not there yet; returns the row count."""
+    return sum(
+        ingest_hour_gated(lake, archive_path(parse_utc(hour), folder), hour, f"{run_id}-{n}")
+        for n, hour in enumerate(hours_to_load(lake, interval))
+    )
+
+
 def _extract_meta(
     lake: Lake, interval: Interval, attributes: Callable[[DataFrame], DataFrame], table: str
 ) -> int:
@@ -160,20 +198,19 @@ def load_repo_master(lake: Lake, interval: Interval) -> None:
 
 
 def transform_silver_events(
-    lake: Lake, interval: Interval, event_types: Iterable[str] = tuple(EVENT_TABLES)
+    lake: Lake,
+    interval: Interval,
+    event_types: Iterable[str] = tuple(EVENT_TABLES),
+    late_hours: int = LATE_HOURS,
 ) -> None:
     """Typed events of the window and the late hours before it.
 
     All types share one table partitioned by type and hour, so bronze is read
     once for all of them; each typed table is a slice of it.
     """
-    window = recompute_interval(interval)
+    window = recompute_interval(interval, late_hours)
     events = typed_events(lake.read_window(BRONZE_EVENTS, window), event_types)
-    lake.overwrite_partitions(
-        events.withColumn(HOUR_PARTITION, hour_key("ingested_at")),
-        SILVER_EVENTS,
-        ["event_type", HOUR_PARTITION],
-    )
+    replace_window(lake, events, SILVER_EVENTS, window, outer=["event_type"])
 
 
 def events_of_type(lake: Lake, event_type: str) -> DataFrame:
@@ -217,9 +254,10 @@ def merge_actor_dimension(lake: Lake, target: str, places: DataFrame, codes: Dat
     """Details loaded in the target hour into the actor dimension, valid from the target time."""
     raw = lake.read_window(ACTOR_DETAIL_RAW, Interval.hour(target))
     batch = prepare_actor_details(raw, places, codes, parse_utc(target))
-    # The batch feeds three writes: keep it as a table rather than compute it again.
-    lake.replace(batch, ACTOR_DETAIL_BATCH)
-    scd2_merge_table(lake, lake.read(ACTOR_DETAIL_BATCH), ACTOR_DETAIL, "user_id")
+    # The batch feeds several reads: keep it as a table, each hour its own.
+    lake.overwrite_hours(batch, ACTOR_DETAIL_BATCH)
+    kept = lake.read_window(ACTOR_DETAIL_BATCH, Interval.hour(target))
+    scd2_merge_table(lake, kept, ACTOR_DETAIL, "user_id")
 
 
 def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:
@@ -250,12 +288,30 @@ def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> dict[str, int]
     return seen.get
 
 
-def update_repo_metrics_daily(lake: Lake, target_date: str, top: int = metrics.DAILY_TOP) -> None:
-    """The day's most starred repos, from events ingested on that day."""
-    day = Interval.day(target_date)
-    daily = metrics.daily_repo_metrics(lake.read_window(SILVER_EVENTS, day))
-    result = metrics.top_repos(staged_day(daily, day.start.date()), top)
+def update_repo_metrics_daily(
+    lake: Lake, interval: Interval, top: int | None = metrics.DAILY_TOP
+) -> list[date]:
+    """The most starred repos of each creation date, complete.
+
+    The dates are those of the events ingested in the interval, so a late event
+    brings its earlier date up again. Each date is counted over all its events,
+    whenever they were ingested; ``top=None`` keeps every repo. Returns the dates.
+    """
+    days = interval.aligned("day")
+    created = F.to_date("created_at")
+    arrived = lake.read_window(SILVER_EVENTS, days).select(created.alias("d")).distinct()
+    # One row per day that the interval's events were created on.
+    dates = sorted(row.d for row in arrived.collect() if row.d is not None)
+    if not dates:
+        return []
+    # Clocks differ: an event may be ingested a little before it was created.
+    first = datetime.combine(dates[0], time()) - DAY
+    since = F.col(HOUR_PARTITION) >= hour_key_of(first)
+    events = lake.read(SILVER_EVENTS).where(since & created.isin(dates))
+    daily = metrics.daily_repo_metrics(events)
+    result = daily if top is None else metrics.top_repos_each_day(daily, top)
     lake.overwrite_partitions(result, REPO_DAILY, ["created_date"])
+    return dates
 
 
 def update_contribution_daily(lake: Lake, interval: Interval) -> None:
@@ -280,8 +336,8 @@ def stage_hourly(
 def stage_daily(
     lake: Lake, source: str, day: str, target: JdbcTarget, table: str, column: str = "created_date"
 ) -> None:
-    date = floor_to(parse_utc(day), "day").date()
-    stage(staged_day(lake.read(source), date, column), target, table)
+    on = floor_to(parse_utc(day), "day").date()
+    stage(staged_day(lake.read(source), on, column), target, table)
 
 
 def merge_staged(lake: Lake, table: str, target: JdbcTarget) -> None:
@@ -295,18 +351,22 @@ def serve_hourly(lake: Lake, interval: Interval) -> None:
     upsert_served(lake, gold, "repo_metrics_hourly")
 
 
-def serve_daily(lake: Lake, day: str) -> None:
-    """Upsert the day's metrics and contributions into the serving tables kept in the lake."""
-    date = floor_to(parse_utc(day), "day").date()
+def serve_daily(lake: Lake, *days: str | date) -> None:
+    """Upsert the days' metrics and contributions into the serving tables kept in the lake."""
+    dates = [floor_to(parse_utc(str(day)), "day").date() for day in days]
     for source in (REPO_DAILY, CONTRIBUTION_DAILY):
-        upsert_served(lake, staged_day(lake.read(source), date), source.split("/")[-1])
+        rows = lake.read(source).where(F.col("created_date").isin(dates))
+        upsert_served(lake, rows, source.split("/")[-1])
 
 
 # -- chains ------------------------------------------------------------------------
 
 
 def run_hour(lake: Lake, source_path: str | list[str], hour: str, run_id: str) -> int:
-    """Raw file to hourly gold for one hour, in one application."""
+    """Raw file to served hourly gold, in one application.
+
+    Silver and gold are computed for the late hours before this one as well.
+    """
     interval = Interval.hour(hour)
     rows = ingest_hour_gated(lake, source_path, hour, run_id)
     extract_actor_meta(lake, interval)
@@ -314,7 +374,8 @@ def run_hour(lake: Lake, source_path: str | list[str], hour: str, run_id: str) -
     load_actor_master(lake, interval)
     load_repo_master(lake, interval)
     transform_silver_events(lake, interval)
-    update_repo_metrics_hourly(lake, interval)
+    update_repo_metrics_hourly(lake, recompute_interval(interval))
+    serve_hourly(lake, recompute_interval(interval))
     return rows
 
 
@@ -328,6 +389,8 @@ def run_actor_hour(
 
 
 def run_day(lake: Lake, day: str) -> None:
-    """Daily gold tables for one day."""
-    update_repo_metrics_daily(lake, day)
-    update_contribution_daily(lake, Interval.day(day))
+    """Daily gold tables for one day, and the earlier dates its events belong to, served."""
+    interval = Interval.day(day)
+    dates = update_repo_metrics_daily(lake, interval)
+    update_contribution_daily(lake, interval)
+    serve_daily(lake, *{interval.start.date(), *dates})

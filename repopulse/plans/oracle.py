@@ -386,6 +386,9 @@ FROM hourly_ranked WHERE star_rank <= {HOURLY_TOP}""",
 SELECT repo_id, ingested_at, star_count, fork_count, star_rank
 FROM hourly_ranked WHERE star_rank <= 3""",
     "q_repo_metrics_daily": f"{_with(BRONZE, SILVER)} {_daily('silver')}",
+    "q_repo_metrics_daily_job": f"{_with(BRONZE, SILVER)} {_daily('silver')}",
+    "q_repo_metrics_hourly_late": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
+SELECT * FROM hourly""",
     "q_repo_metrics_daily_top500": f"""{_with(BRONZE, SILVER)}
 {_daily('silver')} ORDER BY star_count DESC, repo_id, created_date LIMIT {DAILY_TOP}""",
     "q_stage_daily": f"""{_with(BRONZE, SILVER)}

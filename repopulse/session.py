@@ -15,13 +15,6 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# One machine only: use all cores for small shuffles, and list folders in the
-# driver rather than by a task per folder.
-LOCAL_DEFAULTS = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "10000",
-}
-
 # Fixed when the session starts. A call site per column costs several round
 # trips to the JVM; one application runs many plans, so their code stays cached.
 STATIC_DEFAULTS = {
@@ -42,16 +35,14 @@ def create_session(app_name: str, extra_conf: dict[str, str] | None = None) -> S
 
 def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
     """Set the defaults on a session somebody else created."""
-    conf = dict(RUNTIME_DEFAULTS)
-    if is_local(spark):
-        conf.update(LOCAL_DEFAULTS)
-    for key, value in conf.items():
+    for key, value in RUNTIME_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_root(spark: SparkSession) -> str:

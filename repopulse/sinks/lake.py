@@ -1,4 +1,4 @@
-"""Parquet tables of a lake folder: partitioned writes, keyed rewrites, branches."""
+"""Parquet tables of a lake folder: partitioned writes, window reads, staged batches."""
 
 from __future__ import annotations
 
@@ -14,51 +14,51 @@ from repopulse.sinks.schemas import TABLE_SCHEMAS
 HOUR_PARTITION = "ingested_hour"
 BUCKET_PARTITION = "key_bucket"
 KEY_BUCKETS = 64
-MAIN = "main"
-PROTECTED_BRANCHES = ("dev", "main")
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Tables under ``root``, named like ``silver/watch_events``.
-
-    On a branch, writes go to the branch folder only; reads see the branch's
-    partitions in place of main's.
-    """
+    """Tables under ``root``, named like ``silver/watch_events``."""
 
     spark: SparkSession
     root: str
-    branch: str = MAIN
 
     # -- paths -----------------------------------------------------------------
 
-    def path(self, table: str, branch: str | None = None) -> str:
-        branch = branch or self.branch
-        folder = self.root if branch == MAIN else f"{self.root}/_branches/{branch}"
-        return f"{folder}/{table}"
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
     def _hadoop(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _has_data(self, path: str) -> bool:
-        """Whether the folder holds anything but markers; looks at its first level only."""
+    def _children(self, path: str) -> list[str]:
+        """Names in a folder but for markers; its first level only."""
         filesystem, hadoop_path = self._hadoop(path)
         if not filesystem.exists(hadoop_path):
-            return False
+            return []
         names = [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
-        return any(not name.startswith(("_", ".")) for name in names)
+        return [name for name in names if not name.startswith(("_", "."))]
 
     def exists(self, table: str) -> bool:
         """Whether any rows were ever written."""
-        return self._has_data(self.path(table)) or self._has_data(self.path(table, MAIN))
+        return bool(self._children(self.path(table)))
 
-    # -- reads -----------------------------------------------------------------
+    def _hour_folders(self, table: str, interval: Interval) -> list[str]:
+        """The window's hour partitions that exist; no other hour is looked at.
 
-    def _read_path(self, table: str, path: str, merge_schema: bool) -> DataFrame:
-        if table in TABLE_SCHEMAS and not self._has_data(path):
-            return self.spark.createDataFrame([], TABLE_SCHEMAS[table])
-        return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        Hours lie on the first level, or below one other partition column.
+        """
+        path = self.path(table)
+        prefix = f"{HOUR_PARTITION}="
+        first = self._children(path)
+        outer = [path] if any(n.startswith(prefix) for n in first) else [f"{path}/{n}" for n in first]
+        filesystem, _ = self._hadoop(path)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        wanted = [f"{folder}/{prefix}{key}" for folder in outer for key in interval.hour_keys()]
+        return [folder for folder in wanted if filesystem.exists(hadoop(folder))]
+
+    # -- reads -----------------------------------------------------------------
 
     def read(self, table: str, *, merge_schema: bool = False) -> DataFrame:
         """The table as a DataFrame, partition columns included; empty before the first write.
@@ -66,23 +66,29 @@ class Lake:
         ``merge_schema`` opens every file's footer, so only ask for it where
         columns were added over time.
         """
-        if self.branch == MAIN or not self._has_data(self.path(table)):
-            return self._read_path(table, self.path(table, MAIN), merge_schema)
-        staged = self._read_path(table, self.path(table), merge_schema)
-        keys = [k for k in (HOUR_PARTITION, BUCKET_PARTITION) if k in staged.columns]
-        if not keys or not self._has_data(self.path(table, MAIN)):
-            return staged
-        published = self._read_path(table, self.path(table, MAIN), merge_schema)
-        kept = published.join(staged.select(*keys).distinct(), keys, "left_anti")
-        return kept.unionByName(staged, allowMissingColumns=True)
+        if table in TABLE_SCHEMAS and not self.exists(table):
+            return self.spark.createDataFrame([], TABLE_SCHEMAS[table])
+        return self._reader(table, merge_schema).parquet(self.path(table))
+
+    def _reader(self, table: str, merge_schema: bool = False):
+        reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
+        declared = TABLE_SCHEMAS.get(table)
+        return reader.schema(declared) if declared and not merge_schema else reader
+
+    def read_partition(self, table: str, partition: str) -> DataFrame:
+        """One partition, like ``run=r1``; other folders are not listed."""
+        path = self.path(table)
+        return self._reader(table).option("basePath", path).parquet(f"{path}/{partition}")
 
     def read_window(self, table: str, interval: Interval, column: str = "ingested_at") -> DataFrame:
-        """Rows of ``[start, end)``; the hour partitions outside it are never opened."""
-        return (
-            self.read(table)
-            .where(interval.covers_hour_key(HOUR_PARTITION) & interval.contains(column))
-            .drop(HOUR_PARTITION)
-        )
+        """Rows of ``[start, end)``; hour partitions outside it are neither listed nor opened."""
+        folders = self._hour_folders(table, interval)
+        if folders:
+            reader = self._reader(table).option("basePath", self.path(table))
+            hours = reader.parquet(*folders)
+        else:
+            hours = self.read(table).where(F.lit(False))
+        return hours.where(interval.contains(column)).drop(HOUR_PARTITION)
 
     def register_view(self, table: str, name: str, condition: str | None = None) -> DataFrame:
         df = self.read(table)
@@ -129,6 +135,26 @@ class Lake:
         keyed = df.withColumn(HOUR_PARTITION, hour_key(column))
         self.overwrite_partitions(keyed, table, [HOUR_PARTITION], sort, balance)
 
+    def replace_hours(
+        self,
+        df: DataFrame,
+        table: str,
+        interval: Interval,
+        outer: Sequence[str] = (),
+        sort: Sequence[str | Column] = (),
+    ) -> None:
+        """Make the interval's hours hold exactly ``df``: an hour without rows is emptied."""
+        before = {f: set(self._children(f)) for f in self._hour_folders(table, interval)}
+        keyed = df.where(interval.contains("ingested_at")).withColumn(
+            HOUR_PARTITION, hour_key("ingested_at")
+        )
+        self.overwrite_partitions(keyed, table, [*outer, HOUR_PARTITION], sort)
+        filesystem, _ = self._hadoop(self.path(table))
+        for folder, names in before.items():
+            # File names are unique per write, so an hour with the same ones got no rows.
+            if set(self._children(folder)) == names:
+                filesystem.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+
     def append_hours(self, df: DataFrame, table: str, column: str = "ingested_at") -> None:
         (
             df.withColumn(HOUR_PARTITION, hour_key(column))
@@ -150,31 +176,31 @@ class Lake:
         filesystem, hadoop_path = self._hadoop(self.path(table))
         filesystem.delete(hadoop_path, True)
 
-    # -- branches: write, audit, publish ----------------------------------------
-
-    def create_branch(self, name: str) -> Lake:
-        """An empty branch folder over main, and a lake that works on it."""
-        if name != MAIN:
-            filesystem, hadoop_path = self._hadoop(f"{self.root}/_branches/{name}")
-            filesystem.mkdirs(hadoop_path)
-        return self.use_branch(name)
+    # -- staged batches: write, audit, publish -----------------------------------
 
-    def use_branch(self, name: str) -> Lake:
-        return replace(self, branch=name)
+    def staging(self, name: str) -> Lake:
+        """A side folder with the same table names, which sees only what it was given."""
+        return replace(self, root=f"{self.root}/_staging/{name}")
 
-    def merge_branch(self, name: str, tables: dict[str, Sequence[str]]) -> None:
-        """Publish a branch's tables to main, partition by partition.
+    def publish(self, staged: Lake, tables: Sequence[str]) -> None:
+        """Move the staged partitions into these tables, in place of those of the same name.
 
-        ``tables`` names the partition columns of each table. The branch's files
-        are copied as they are laid out; publishing again replaces the same partitions.
+        Files are renamed, not written again. Publishing a batch that broke off
+        half way again moves what is left.
         """
-        main = self.use_branch(MAIN)
-        for table, partition in tables.items():
-            staged = self.spark.read.parquet(self.path(table, name))
-            main.overwrite_partitions(staged, table, partition, balance=False)
-
-    def delete_branch(self, name: str) -> None:
-        if name in PROTECTED_BRANCHES:
-            raise ValueError(f"branch {name!r} is protected")
-        filesystem, hadoop_path = self._hadoop(f"{self.root}/_branches/{name}")
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        for table in tables:
+            filesystem, target = self._hadoop(self.path(table))
+            filesystem.mkdirs(target)
+            for name in self._children(staged.path(table)):
+                folder = hadoop(f"{self.path(table)}/{name}")
+                filesystem.delete(folder, True)
+                if not filesystem.rename(hadoop(f"{staged.path(table)}/{name}"), folder):
+                    raise OSError(f"{name} of {table} was not moved")
+
+    def discard(self) -> None:
+        """Delete a staged batch."""
+        if "/_staging/" not in self.root:
+            raise ValueError("only a staged batch is discarded")
+        filesystem, hadoop_path = self._hadoop(self.root)
         filesystem.delete(hadoop_path, True)

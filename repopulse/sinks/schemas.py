@@ -30,6 +30,7 @@ TABLE_SCHEMAS = {
         "avatar_url: STRING>, public BOOLEAN, "
         f"created_at STRING, payload_raw STRING, ingested_at TIMESTAMP_NTZ, {_HOUR}"
     ),
+    "bronze/malformed_lines": f"id STRING, line STRING, ingested_at TIMESTAMP_NTZ, {_HOUR}",
     "bronze/actor_meta": f"{_ACTOR_META}, {_HOUR}",
     "bronze/repo_meta": f"{_REPO_META}, {_HOUR}",
     "bronze/actor_detail_raw": f"{_ACTOR_DETAIL}, {_HOUR}",
@@ -43,7 +44,7 @@ TABLE_SCHEMAS = {
     ),
     "silver/actor_master": f"{_ACTOR_META}, {_BUCKET}",
     "silver/repo_master": f"{_REPO_META}, {_BUCKET}",
-    "silver/actor_detail_batch": _ACTOR_VERSION,
+    "silver/actor_detail_batch": f"{_ACTOR_VERSION}, {_HOUR}",
     "silver/actor_detail_scd/current": f"{_ACTOR_VERSION}, {_BUCKET}",
     "silver/actor_detail_scd/closed": f"{_ACTOR_VERSION}, closed_batch BIGINT, {_BUCKET}",
     "gold/repo_metrics_hourly": (

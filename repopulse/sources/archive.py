@@ -78,8 +78,23 @@ def missing_hours(spine: DataFrame, landed: DataFrame, column: str = "ingested_a
     )
 
 
+# Lines that do not parse, as they are.
+CORRUPT = "_corrupt_line"
+
+
 def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(RAW_EVENT_SCHEMA).json(path)
+    """Events of archive files; a line that is no JSON object is kept in ``CORRUPT``."""
+    reader = spark.read.schema(f"{RAW_EVENT_SCHEMA}, {CORRUPT} STRING")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed(raw: DataFrame) -> DataFrame:
+    # Spark reads no file for the corrupt column alone, hence the id.
+    return raw.where(F.col(CORRUPT).isNotNull()).select("id", F.col(CORRUPT).alias("line"))
 
 
 def as_bronze(raw: DataFrame, ingested_at: Column) -> DataFrame:

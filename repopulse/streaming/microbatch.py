@@ -19,15 +19,20 @@ LATE_HOURS = 2
 
 
 def recompute_interval(interval: Interval, late_hours: int = LATE_HOURS) -> Interval:
-    """The hour-aligned run window with the late hours before it: 11-12 becomes 09-12."""
+    """The hour-aligned run window with the late hours before it."""
     return interval.aligned("hour").reaching_back(late_hours)
 
 
 def replace_window(
-    lake: Lake, df: DataFrame, table: str, interval: Interval, sort: Sequence[str | Column] = ()
+    lake: Lake,
+    df: DataFrame,
+    table: str,
+    interval: Interval,
+    sort: Sequence[str | Column] = (),
+    outer: Sequence[str] = (),
 ) -> None:
-    """Replace the hours of ``interval`` that occur in ``df``; rows outside it are not written."""
-    lake.overwrite_hours(df.where(interval.contains("ingested_at")), table, sort)
+    """Make the hours of ``interval`` hold the rows of ``df`` that lie in it, and no others."""
+    lake.replace_hours(df, table, interval, outer, sort)
 
 
 def previous_hour(lake: Lake, table: str, interval: Interval) -> DataFrame:

@@ -126,7 +126,8 @@ def test_three_hours_and_a_day(spark, lake, files):
         (12, 100): (1, 0, 1, 2, False, 1, -1),
         (12, 400): (0, 1, 2, 1, True, 0, 0),
     }
-    assert hourly[(10, 100)][0] == "o/r100@2"
+    # Recomputed with hour 12, and so under the name of that time.
+    assert hourly[(10, 100)][0] == "o/r100@13"
 
     places, codes = reference_lists(spark)
     for hour, expected in ((H10, 2), (H11, 3)):
@@ -192,6 +193,67 @@ def test_late_rows_are_picked_up_by_the_next_run(spark, lake, files):
     assert lake.read(jobs.SILVER_EVENTS).count() == before + 6
 
 
+def test_gold_follows_late_rows(spark, lake, files, tmp_path):
+    """A file that comes late: hourly gold equals a recount, the next hour's movement too."""
+    jobs.run_hour(lake, files[H10], H10, "r10")
+    jobs.run_hour(lake, files[H11], H11, "r11")
+    late = tmp_path / "late.json"
+    late.write_text(
+        "".join(json.dumps(raw(50 + n, "WatchEvent", 5, 200, "10:30:00")) + "\n" for n in range(3))
+    )
+    jobs.ingest_hour(lake, [files[H10], str(late)], H10)
+    jobs.run_hour(lake, files[H12], H12, "r12")
+    after = gold(lake)
+    assert after[(10, 200)][1:6] == (3, 1, 1, 1, True)
+    assert after[(11, 200)][6:] == (0, -1)
+    lake.drop(jobs.REPO_HOURLY)
+    jobs.update_repo_metrics_hourly(lake, Interval.of(H10, "2026-03-03T13:00:00"))
+    assert gold(lake) == after
+    assert lake.read("serving/repo_metrics_hourly").where("repo_id = 200 AND star_count = 3").count() == 1
+
+
+def test_an_hour_recomputed_to_nothing_is_emptied(spark, lake, files):
+    jobs.run_hour(lake, files[H10], H10, "r10")
+    jobs.run_hour(lake, files[H11], H11, "r11")
+    lake.replace_hours(lake.read_window(jobs.BRONZE_EVENTS, Interval.hour(H10)).limit(0), jobs.BRONZE_EVENTS, Interval.hour(H10))
+    jobs.run_hour(lake, files[H12], H12, "r12")
+    assert {hour for hour, _ in gold(lake)} == {11, 12}
+    assert lake.read(jobs.SILVER_EVENTS).where("ingested_hour = 2026030310").count() == 0
+
+
+def test_a_star_of_the_last_minute_counts_for_its_day(spark, lake, tmp_path):
+    def load(name, hour, *rows):
+        path = tmp_path / name
+        path.write_text("".join(json.dumps(row) + "\n" for row in rows))
+        jobs.ingest_hour(lake, str(path), hour)
+        jobs.transform_silver_events(lake, Interval.hour(hour))
+
+    load("a.json", "2026-03-03T22:00:00", raw(1, "WatchEvent", 1, 100, "22:10:00"))
+    jobs.update_repo_metrics_daily(lake, Interval.day("2026-03-03"))
+    next_day = raw(3, "ForkEvent", 1, 100, "00:01:00") | {"created_at": "2026-03-04T00:01:00Z"}
+    load("b.json", "2026-03-04T00:00:00", raw(2, "WatchEvent", 2, 100, "23:59:00"), next_day)
+    dates = jobs.update_repo_metrics_daily(lake, Interval.day("2026-03-04"))
+    assert dates == [date(2026, 3, 3), date(2026, 3, 4)]
+    rows = {r.created_date.day: (r.star_count, r.fork_count) for r in lake.read(jobs.REPO_DAILY).collect()}
+    assert rows == {3: (2, 0), 4: (0, 1)}
+
+
+def test_missing_hours_are_loaded(spark, lake, files, tmp_path):
+    jobs.ingest_hour(lake, files[H11], H11)
+    morning = Interval.of(H10, "2026-03-03T13:00:00")
+    assert jobs.hours_to_load(lake, morning) == [H10, H12]
+    assert jobs.load_missing_hours(lake, str(tmp_path), morning, "fill") == 7
+    assert jobs.hours_to_load(lake, morning) == []
+
+
+def test_lines_that_are_no_object_go_to_a_side_table(spark, lake, tmp_path):
+    path = tmp_path / "cut.json"
+    path.write_text(json.dumps(raw(1, "WatchEvent", 1, 100, "10:00:00")) + '\n{"id": "2", "type": "Wat\n')
+    assert jobs.ingest_hour_gated(lake, str(path), H10, "cut") == 1
+    assert [r.id for r in lake.read(jobs.BRONZE_EVENTS).collect()] == ["1"]
+    assert [r.line for r in lake.read(jobs.MALFORMED).collect()] == ['{"id": "2", "type": "Wat']
+
+
 def test_a_bad_hour_is_not_published(spark, lake, files):
     with pytest.raises(QualityError, match="unique"):
         jobs.ingest_hour_gated(lake, [files[H10], files[H10]], H10, "bad")

@@ -1,12 +1,11 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from repopulse.functions.timeframes import Interval
-from repopulse.sinks.lake import Lake
 
 COLUMNS = "id STRING, ingested_at TIMESTAMP_NTZ"
 
@@ -39,14 +38,31 @@ def test_append_and_replace(spark, lake):
     assert not lake.exists("t/x")
 
 
-def test_window_read_opens_only_its_hours(spark, lake):
-    lake.overwrite_hours(hours(spark, *[(str(h), h) for h in range(24)]), "t/x")
+def test_window_read_lists_only_its_hours(spark, lake):
+    first = datetime(2026, 3, 3)
+    stamps = [(str(n), first + timedelta(hours=n)) for n in range(1000)]
+    many = spark.createDataFrame(stamps, COLUMNS).repartition(1)
+    lake.overwrite_hours(many, "t/x", balance=False)
     window = lake.read_window("t/x", Interval.of("2026-03-03T09:00:00", "2026-03-03T11:00:00"))
     assert ids(window) == ["10", "9"]
-    assert len(window.inputFiles()) == 24  # listed
-    plan = window._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingested_hour" in plan
+    assert len(window.inputFiles()) == 2
     assert window.columns == ["id", "ingested_at"]
+    assert lake.read("t/x").count() == 1000
+    none = lake.read_window("t/x", Interval.of("2020-03-03T09:00:00", "2020-03-03T11:00:00"))
+    assert none.count() == 0 and none.columns == ["id", "ingested_at"]
+
+
+def test_window_read_below_another_partition(spark, lake):
+    typed = hours(spark, ("a", 9), ("b", 10)).withColumn("event_type", F.lit("T"))
+    interval = Interval.hour("2026-03-03T10:00:00")
+    whole = Interval.day("2026-03-03")
+    lake.replace_hours(typed, "t/y", whole, outer=["event_type"])
+    assert ids(lake.read_window("t/y", interval)) == ["b"]
+    # The hour 10 gets no rows: its old ones go, hour 9 stays.
+    lake.replace_hours(typed.where("id = 'a'"), "t/y", interval, outer=["event_type"])
+    assert ids(lake.read("t/y")) == ["a"]
+    lake.replace_hours(typed.where("id = 'b'"), "t/y", whole, outer=["event_type"])
+    assert ids(lake.read("t/y")) == ["b"]
 
 
 def test_declared_tables_are_empty_before_the_first_write(lake):
@@ -68,25 +84,18 @@ def test_views(spark, lake):
     assert spark.sql("SELECT id FROM late_view").collect()[0].id == "b"
 
 
-def test_branch_is_invisible_until_merged(spark, lake):
+def test_staged_batch_is_invisible_until_published(spark, lake):
     lake.overwrite_hours(hours(spark, ("a", 9), ("b", 10)), "t/x")
-    branch = lake.create_branch("audit")
-    branch.overwrite_hours(hours(spark, ("c", 10)), "t/x")
-    assert branch.branch == "audit"
-    assert ids(branch.read("t/x")) == ["a", "c"]
+    staged = lake.staging("audit")
+    staged.overwrite_hours(hours(spark, ("c", 10)), "t/x")
+    assert ids(staged.read("t/x")) == ["c"]
     assert ids(lake.read("t/x")) == ["a", "b"]
-    lake.merge_branch("audit", {"t/x": ["ingested_hour"]})
-    lake.delete_branch("audit")
+    lake.publish(staged, ["t/x", "t/never_written"])
+    staged.discard()
     assert ids(lake.read("t/x")) == ["a", "c"]
-    assert ids(branch.read("t/x")) == ["a", "c"]
+    assert not staged.exists("t/x") and not lake.exists("t/never_written")
 
 
-@pytest.mark.parametrize("name", ["main", "dev"])
-def test_protected_branches_stay(lake, name):
+def test_only_staged_batches_are_discarded(lake):
     with pytest.raises(ValueError):
-        lake.delete_branch(name)
-
-
-def test_use_branch_returns_to_main(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path))
-    assert lake.create_branch("b").use_branch("main") == lake
+        lake.discard()
