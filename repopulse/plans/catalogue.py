@@ -601,12 +601,12 @@ def q_wap_publish(spark: SparkSession, sf: str) -> DataFrame:
     attempts = {"doubled": bronze.unionByName(bronze), "clean": bronze}
     for name, batch in attempts.items():
         staged = lake.staging(name)
-        staged.overwrite_hours(batch, jobs.BRONZE_EVENTS)
-        report = quality.run_checks(staged.read(jobs.BRONZE_EVENTS), quality.EVENT_CHECKS, name)
+        staged.overwrite_hours(batch, "t/events")
+        report = quality.run_checks(staged.read("t/events"), quality.EVENT_CHECKS, name)
         if not quality.failed_checks(report):
-            lake.publish(staged, [jobs.BRONZE_EVENTS])
+            lake.publish(staged, ["t/events"])
         staged.discard()
-    return lake.read(jobs.BRONZE_EVENTS).select("id", "type", "created_at", "ingested_at")
+    return lake.read("t/events").select("id", "type", "created_at", "ingested_at")
 
 
 # -- data quality ----------------------------------------------------------------------------
