@@ -51,6 +51,7 @@ JOBS = {
     "extract-repo-meta": (WINDOW, lambda lake, a: jobs.extract_repo_meta(lake, _interval(a))),
     "load-actor-master": (WINDOW, lambda lake, a: jobs.load_actor_master(lake, _interval(a))),
     "load-repo-master": (WINDOW, lambda lake, a: jobs.load_repo_master(lake, _interval(a))),
+    "compact-masters": ((), lambda lake, a: jobs.compact_masters(lake)),
     "transform-silver": (WINDOW, lambda lake, a: jobs.transform_silver_events(lake, _interval(a))),
     "repo-metrics-hourly": (WINDOW, lambda lake, a: jobs.update_repo_metrics_hourly(lake, _interval(a))),
     "repo-metrics-daily": (

@@ -29,8 +29,14 @@ from repopulse.operators.latest import latest_per_key
 from repopulse.operators.point_in_time import point_in_time_join
 from repopulse.plans import jobs
 from repopulse.session import scratch_path
-from repopulse.sinks.keyed import read_dimension, scd2_merge_table, upsert_table
-from repopulse.sinks.lake import BUCKET_PARTITION, HOUR_PARTITION, Lake
+from repopulse.sinks.keyed import (
+    compact,
+    read_dimension,
+    read_keyed,
+    scd2_merge_table,
+    upsert_table,
+)
+from repopulse.sinks.lake import HOUR_PARTITION, Lake
 from repopulse.sinks.serving import SERVING_TABLES, staged_day, staged_window, upsert_served
 from repopulse.sources import archive, driver_tables as tables
 from repopulse.streaming.microbatch import recompute_interval, replace_window
@@ -174,13 +180,15 @@ def q_upsert_actor_master(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_upsert_repo_master(spark: SparkSession, sf: str) -> DataFrame:
-    """Through the bucketed table: loaded once, merged once, read back."""
+    """Through the table of batches: three batches, folded, read back."""
     before, after = _master_sides(spark, sf)
     lake = _lake(spark, "repo-master")
     table = "master/repo"
-    upsert_table(lake, _latest_repo(before), table, "repo_id", "created_at")
-    upsert_table(lake, _latest_repo(after), table, "repo_id", "created_at")
-    return lake.read(table).drop(BUCKET_PARTITION)
+    upsert_table(lake, _latest_repo(before), table, 1)
+    for _ in range(2):
+        upsert_table(lake, _latest_repo(after), table, 2)
+    compact(lake, table, "repo_id", "created_at")
+    return read_keyed(lake, table, "repo_id", "created_at")
 
 
 # -- actor details -------------------------------------------------------------------
@@ -335,12 +343,12 @@ def q_scd2_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scd2_merge_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Through the tables: two batches, then the second again, which changes nothing."""
+    """Through the tables: two batches, then both again, which changes nothing."""
     lake = _lake(spark, "actor-dimension")
     table = jobs.ACTOR_DETAIL
-    for batch_time in (tables.FIRST_BATCH, tables.SECOND_BATCH, tables.SECOND_BATCH):
-        lake.replace(_batch(spark, sf, batch_time), jobs.ACTOR_DETAIL_BATCH)
-        scd2_merge_table(lake, lake.read(jobs.ACTOR_DETAIL_BATCH), table, "user_id")
+    for number, batch_time in enumerate((tables.FIRST_BATCH, tables.SECOND_BATCH) * 2):
+        batch = _batch(spark, sf, batch_time)
+        scd2_merge_table(lake, batch, table, "user_id", number % 2)
     return _shown(read_dimension(lake, table))
 
 

@@ -45,8 +45,14 @@ from repopulse.operators.quality import (
     run_checks,
 )
 from repopulse.operators.rank import rank_trend, with_star_and_fork_ranks
-from repopulse.sinks.keyed import read_dimension, scd2_merge_table, upsert_table
-from repopulse.sinks.lake import BUCKET_PARTITION, HOUR_PARTITION, Lake
+from repopulse.sinks.keyed import (
+    compact,
+    read_dimension,
+    read_keyed,
+    scd2_merge_table,
+    upsert_table,
+)
+from repopulse.sinks.lake import HOUR_PARTITION, Lake
 from repopulse.sinks.serving import (
     JdbcTarget,
     merge_statements,
@@ -83,6 +89,7 @@ ACTOR_MASTER = "silver/actor_master"
 REPO_MASTER = "silver/repo_master"
 ACTOR_DETAIL_BATCH = "silver/actor_detail_batch"
 ACTOR_DETAIL = "silver/actor_detail_scd"
+MASTER_KEYS = {ACTOR_MASTER: "actor_id", REPO_MASTER: "repo_id"}
 REPO_HOURLY = "gold/repo_metrics_hourly"
 REPO_DAILY = "gold/repo_metrics_daily"
 CONTRIBUTION_DAILY = "gold/repo_contribution_metrics_daily"
@@ -183,18 +190,19 @@ def extract_repo_meta(lake: Lake, interval: Interval) -> int:
 # -- silver ----------------------------------------------------------------------
 
 
-def _load_master(lake: Lake, interval: Interval, meta: str, master: str, key: str) -> None:
-    window = lake.read_window(meta, interval.aligned("hour"))
-    latest = latest_per_key(window, key, ["created_at", "ingested_at"])
-    upsert_table(lake, latest, master, key, version="created_at")
+def _load_master(lake: Lake, interval: Interval, meta: str, master: str) -> None:
+    key = MASTER_KEYS[master]
+    hours = interval.aligned("hour")
+    latest = latest_per_key(lake.read_window(meta, hours), key, ["created_at", "ingested_at"])
+    upsert_table(lake, latest, master, hour_key_of(hours.start))
 
 
 def load_actor_master(lake: Lake, interval: Interval) -> None:
-    _load_master(lake, interval, ACTOR_META, ACTOR_MASTER, "actor_id")
+    _load_master(lake, interval, ACTOR_META, ACTOR_MASTER)
 
 
 def load_repo_master(lake: Lake, interval: Interval) -> None:
-    _load_master(lake, interval, REPO_META, REPO_MASTER, "repo_id")
+    _load_master(lake, interval, REPO_META, REPO_MASTER)
 
 
 def transform_silver_events(
@@ -225,6 +233,17 @@ def register_event_views(lake: Lake) -> None:
         events_of_type(lake, event_type).createOrReplaceTempView(table.split("/")[-1])
 
 
+def read_master(lake: Lake, master: str, only: DataFrame | None = None) -> DataFrame:
+    """The newest row of each actor or repo, or of those in ``only``."""
+    return read_keyed(lake, master, MASTER_KEYS[master], "created_at", only)
+
+
+def compact_masters(lake: Lake) -> None:
+    """Fold the hourly batches of both masters; run by schedule, at any time."""
+    for master, key in MASTER_KEYS.items():
+        compact(lake, master, key, "created_at")
+
+
 # -- actor details -----------------------------------------------------------------
 
 
@@ -257,12 +276,13 @@ def merge_actor_dimension(lake: Lake, target: str, places: DataFrame, codes: Dat
     # The batch feeds several reads: keep it as a table, each hour its own.
     lake.overwrite_hours(batch, ACTOR_DETAIL_BATCH)
     kept = lake.read_window(ACTOR_DETAIL_BATCH, Interval.hour(target))
-    scd2_merge_table(lake, kept, ACTOR_DETAIL, "user_id")
+    batch = hour_key_of(Interval.hour(target).start)
+    scd2_merge_table(lake, kept, ACTOR_DETAIL, "user_id", batch)
 
 
 def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:
     """Current actor versions as a temporary view."""
-    current = lake.read(f"{ACTOR_DETAIL}/current").drop(BUCKET_PARTITION)
+    current = read_dimension(lake, ACTOR_DETAIL).where("is_current")
     current.createOrReplaceTempView(name)
     return current
 
@@ -274,7 +294,9 @@ def update_repo_metrics_hourly(lake: Lake, interval: Interval) -> dict[str, int]
     """Counts, ranks and movement for every hour of the interval; returns stars and forks seen."""
     window = interval.aligned("hour")
     counts = metrics.hourly_star_fork_counts(lake.read_window(SILVER_EVENTS, window))
-    ranked = metrics.with_repo_names(with_star_and_fork_ranks(counts), lake.read(REPO_MASTER))
+    # Only the hours' repos are looked up: the rest of the master stays out of the shuffle.
+    names = read_master(lake, REPO_MASTER, only=counts.select("repo_id"))
+    ranked = metrics.with_repo_names(with_star_and_fork_ranks(counts), names)
     previous = previous_hour(lake, REPO_HOURLY, window).select(*ranked.columns)
     if window.end - window.start > HOUR:
         previous = previous.unionByName(ranked)
@@ -317,8 +339,10 @@ def update_repo_metrics_daily(
 def update_contribution_daily(lake: Lake, interval: Interval) -> None:
     """Per-country activity for every day of the interval."""
     days = interval.aligned("day")
+    events = lake.read_window(SILVER_EVENTS, days)
+    active = metrics.active_actors(events).select(F.col("actor_id").alias("user_id"))
     result = metrics.daily_country_contributions(
-        lake.read_window(SILVER_EVENTS, days), read_dimension(lake, ACTOR_DETAIL)
+        events, read_dimension(lake, ACTOR_DETAIL, only=active)
     )
     lake.overwrite_partitions(result, CONTRIBUTION_DAILY, ["created_date"])
 

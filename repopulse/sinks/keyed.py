@@ -1,75 +1,95 @@
-"""Keyed tables rewritten bucket by bucket."""
+"""Keyed tables as batches of changes, resolved when they are read.
+
+A batch writes its own rows into a folder of its own and touches no other, so its cost
+follows the batch, not the table, and running it again replaces what it wrote. The
+state of a key is worked out on read. ``compact`` folds old batches into one from time
+to time; without it a table gains one folder a batch.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repopulse.operators.scd2 import scd2_step
-from repopulse.operators.upsert import upsert_newest
-from repopulse.sinks.lake import BUCKET_PARTITION, KEY_BUCKETS, Lake
+from repopulse.functions.timeframes import ntz_literal
+from repopulse.operators.latest import latest_per_key
+from repopulse.operators.scd2 import OPEN_END, VERSION_COLUMNS, scd2_changes
+from repopulse.sinks.lake import Lake
+
+BATCH_PARTITION = "batch"
 
-CLOSED_PARTITION = "closed_batch"
 
+def upsert_table(lake: Lake, source: DataFrame, table: str, batch: int) -> None:
+    """Add one-row-per-key ``source`` as batch number ``batch``; batches count up in time."""
+    lake.replace_partition(source, table, f"{BATCH_PARTITION}={batch}")
 
-def key_bucket(key: str, buckets: int = KEY_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
+def read_keyed(
+    lake: Lake, table: str, key: str, version: str, only: DataFrame | None = None
+) -> DataFrame:
+    """One row per key: what merging the batches in order would leave.
 
-def _touched(source: DataFrame, key: str, buckets: int) -> list[int]:
-    """Buckets the source writes to: at most ``buckets`` integers."""
-    rows = source.select(key_bucket(key, buckets).alias("b")).distinct().collect()
-    return sorted(row.b for row in rows)
+    A row gives way to one of a later batch only if its ``version`` is strictly
+    older; equal or null versions on either side keep it. ``only`` holds the keys
+    asked for, and other rows are dropped before the shuffle.
+    """
+    rows = lake.read(table)
+    if only is not None:
+        rows = rows.join(only.select(key).distinct(), key, "left_semi")
+    return _newest(rows, key, version).drop(BATCH_PARTITION)
 
 
-def upsert_table(
-    lake: Lake, source: DataFrame, table: str, key: str, version: str, buckets: int = KEY_BUCKETS
-) -> None:
-    """Merge one-row-per-key ``source`` into a table; untouched buckets are neither read nor written."""
-    merged = source
-    if lake.exists(table):
-        touched = F.col(BUCKET_PARTITION).isin(*_touched(source, key, buckets))
-        target = lake.read(table).where(touched).drop(BUCKET_PARTITION)
-        merged = upsert_newest(target, source, key, version)
-    lake.overwrite_partitions(
-        merged.withColumn(BUCKET_PARTITION, key_bucket(key, buckets)),
-        table,
-        [BUCKET_PARTITION],
-        sort=[key],
+def _newest(rows: DataFrame, key: str, version: str) -> DataFrame:
+    # A null version in the first batch of a key stays for good.
+    first = F.min(BATCH_PARTITION).over(Window.partitionBy(key))
+    stays = F.col(version).isNull() & (F.col(BATCH_PARTITION) == first)
+    best = Window.partitionBy(key).orderBy(
+        stays.desc(), F.col(version).desc_nulls_last(), BATCH_PARTITION
+    )
+    return (
+        rows.withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") == 1).drop("_nth")
     )
 
 
-def read_dimension(lake: Lake, table: str) -> DataFrame:
-    """All versions, current and closed."""
-    current = lake.read(f"{table}/current").drop(BUCKET_PARTITION)
-    closed = lake.read(f"{table}/closed").drop(BUCKET_PARTITION, CLOSED_PARTITION)
-    return current.unionByName(closed)
+def compact(lake: Lake, table: str, key: str, version: str) -> None:
+    """Fold all batches into the newest one.
 
+    The folded batch is written first and the others go after it. What they held is
+    in it, so a run that breaks off in between leaves a table that reads the same.
+    """
+    batches = lake.partitions(table)
+    if len(batches) > 1:
+        lake.rewrite_partition(_newest(lake.read(table), key, version), table, batches[-1])
+        lake.drop_partitions(table, batches[:-1])
 
-def scd2_merge_table(
-    lake: Lake, batch: DataFrame, table: str, key: str, buckets: int = KEY_BUCKETS
-) -> None:
-    """Merge a batch of first versions into a dimension kept as current and closed rows.
 
-    Closed rows go first, partitioned by the batch that closed them and by key
-    bucket; then the current buckets are replaced. A run that broke off in
-    between finds the old current rows of the buckets it did not reach and
-    writes the same closed partitions for them again.
-    """
-    current_table, closed_table = f"{table}/current", f"{table}/closed"
-    bucket = key_bucket(key, buckets)
-    touched = F.col(BUCKET_PARTITION).isin(*_touched(batch, key, buckets))
-    current = lake.read(current_table).where(touched).drop(BUCKET_PARTITION)
-    merged = scd2_step(current, batch.select(*current.columns), key).withColumn(
-        BUCKET_PARTITION, bucket
+def read_dimension(
+    lake: Lake, table: str, key: str = "user_id", only: DataFrame | None = None
+) -> DataFrame:
+    """All versions; each ends where the next of its key begins."""
+    rows = lake.read(table).drop(BATCH_PARTITION)
+    if only is not None:
+        rows = rows.join(only.select(key).distinct(), key, "left_semi")
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    return rows.withColumn("valid_to", F.coalesce(following, ntz_literal(OPEN_END))).withColumn(
+        "is_current", F.col("valid_to") == ntz_literal(OPEN_END)
     )
-    closed_by = F.unix_micros(F.col("valid_to").cast("timestamp"))
-    lake.overwrite_partitions(
-        merged.where(~F.col("is_current")).withColumn(CLOSED_PARTITION, closed_by),
-        closed_table,
-        [CLOSED_PARTITION, BUCKET_PARTITION],
-        [key],
-    )
-    lake.overwrite_partitions(
-        merged.where(F.col("is_current")), current_table, [BUCKET_PARTITION], [key]
+
+
+def scd2_merge_table(lake: Lake, changes: DataFrame, table: str, key: str, batch: int) -> None:
+    """Add the first and changed versions of a batch of rows with ``valid_from``.
+
+    Rows are compared with the versions that earlier batches left of their keys; only
+    those are read past the scan, and only new versions are written.
+    """
+    columns = [name for name in changes.columns if name not in VERSION_COLUMNS[1:]]
+    changes = changes.select(*columns)
+    known = (
+        lake.read(table)
+        .where(F.col(BATCH_PARTITION) < batch)
+        .drop(BATCH_PARTITION)
+        .join(changes.select(key).distinct(), key, "left_semi")
     )
+    current = latest_per_key(known.select(*columns), key, ["valid_from"])
+    new = scd2_changes(current, changes, key).drop("change")
+    lake.replace_partition(new, table, f"{BATCH_PARTITION}={batch}")

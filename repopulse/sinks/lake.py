@@ -12,8 +12,6 @@ from repopulse.functions.timeframes import Interval, hour_key
 from repopulse.sinks.schemas import TABLE_SCHEMAS
 
 HOUR_PARTITION = "ingested_hour"
-BUCKET_PARTITION = "key_bucket"
-KEY_BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -155,6 +153,29 @@ class Lake:
             if set(self._children(folder)) == names:
                 filesystem.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
+    def partitions(self, table: str) -> list[str]:
+        """First-level partitions like ``batch=7``, by their number."""
+        return sorted(self._children(self.path(table)), key=lambda name: int(name.split("=")[1]))
+
+    def replace_partition(self, df: DataFrame, table: str, partition: str) -> None:
+        """Make one partition hold exactly ``df``; no other is looked at."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{self.path(table)}/{partition}"
+        )
+
+    def rewrite_partition(self, df: DataFrame, table: str, partition: str) -> None:
+        """The same where ``df`` reads the table: written aside, then moved in."""
+        aside = self.staging(f"rewrite-{table.replace('/', '-')}")
+        column = partition.split("=")[0]
+        aside.replace_partition(df.drop(column), table, partition)
+        self.publish(aside, [table])
+        aside.discard()
+
+    def drop_partitions(self, table: str, names: Sequence[str]) -> None:
+        for name in names:
+            filesystem, folder = self._hadoop(f"{self.path(table)}/{name}")
+            filesystem.delete(folder, True)
+
     def append_hours(self, df: DataFrame, table: str, column: str = "ingested_at") -> None:
         (
             df.withColumn(HOUR_PARTITION, hour_key(column))

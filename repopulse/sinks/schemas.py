@@ -13,12 +13,13 @@ _ACTOR_DETAIL = (
     "followers_count BIGINT, following_count BIGINT, user_created_at TIMESTAMP_NTZ, "
     "user_updated_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ"
 )
+_ACTOR_ROW = f"{_ACTOR_DETAIL}, country STRING, country_code STRING"
 _ACTOR_VERSION = (
-    f"{_ACTOR_DETAIL}, country STRING, country_code STRING, valid_from TIMESTAMP_NTZ, "
-    "valid_to TIMESTAMP_NTZ, is_current BOOLEAN, hash_diff STRING"
+    f"{_ACTOR_ROW}, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN, "
+    "hash_diff STRING"
 )
 _HOUR = "ingested_hour INT"
-_BUCKET = "key_bucket INT"
+_BATCH = "batch INT"
 
 TABLE_SCHEMAS = {
     "bronze/events": (
@@ -42,11 +43,10 @@ TABLE_SCHEMAS = {
         "event_id STRING, repo_id BIGINT, actor_id BIGINT, action STRING, "
         f"created_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_type STRING, {_HOUR}"
     ),
-    "silver/actor_master": f"{_ACTOR_META}, {_BUCKET}",
-    "silver/repo_master": f"{_REPO_META}, {_BUCKET}",
+    "silver/actor_master": f"{_ACTOR_META}, {_BATCH}",
+    "silver/repo_master": f"{_REPO_META}, {_BATCH}",
     "silver/actor_detail_batch": f"{_ACTOR_VERSION}, {_HOUR}",
-    "silver/actor_detail_scd/current": f"{_ACTOR_VERSION}, {_BUCKET}",
-    "silver/actor_detail_scd/closed": f"{_ACTOR_VERSION}, closed_batch BIGINT, {_BUCKET}",
+    "silver/actor_detail_scd": f"{_ACTOR_ROW}, valid_from TIMESTAMP_NTZ, hash_diff STRING, {_BATCH}",
     "gold/repo_metrics_hourly": (
         "repo_name STRING, repo_id BIGINT, ingested_at TIMESTAMP_NTZ, star_count BIGINT, "
         "fork_count BIGINT, star_rank INT, fork_rank INT, prev_star_count BIGINT, "

@@ -113,9 +113,11 @@ def test_three_hours_and_a_day(spark, lake, files):
     assert spark.sql("SELECT count(*) AS n FROM unified_events").first().n == 11
     assert spark.sql("SELECT count(*) AS n FROM fork_events").first().n == 2
 
-    masters = {r.repo_id: r.repo_name for r in lake.read(jobs.REPO_MASTER).collect()}
+    masters = {r.repo_id: r.repo_name for r in jobs.read_master(lake, jobs.REPO_MASTER).collect()}
     assert masters == {100: "o/r100@13", 200: "o/r200@7", 300: "o/r300@5", 400: "o/r400@12"}
-    assert lake.read(jobs.ACTOR_MASTER).count() == 4
+    assert jobs.read_master(lake, jobs.ACTOR_MASTER).count() == 4
+    jobs.compact_masters(lake)
+    assert {r.repo_id: r.repo_name for r in jobs.read_master(lake, jobs.REPO_MASTER).collect()} == masters
 
     hourly = gold(lake)
     assert {key: value[1:] for key, value in hourly.items()} == {

@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from repopulse.operators.actors import DIMENSION_COLUMNS, prepare_actor_details
 from repopulse.operators.scd2 import OPEN_END, current_versions, first_versions, scd2_apply, scd2_changes
-from repopulse.sinks.keyed import read_dimension, scd2_merge_table, upsert_table
+from repopulse.operators.upsert import upsert_newest
+from repopulse.sinks.keyed import (
+    compact,
+    read_dimension,
+    read_keyed,
+    scd2_merge_table,
+    upsert_table,
+)
 
 T1, T2, T3 = (datetime(2026, 3, day) for day in (1, 2, 3))
 
@@ -80,43 +87,48 @@ def test_prepared_details(spark):
     assert (rows[1].company, rows[1].country, rows[1].country_code) == (None, None, "UNKNOWN")
 
 
-def test_dimension_table_survives_replay_and_interruption(spark, lake):
+def test_dimension_table_survives_replay(spark, lake):
     table = "silver/actor_detail_scd"
     first = prepared(spark, T1, [(i, "a", "Seoul") for i in range(20)])
     second = prepared(spark, T2, [(i, "b" if i < 10 else "a", "Seoul") for i in range(25)])
-    scd2_merge_table(lake, first, table, "user_id", buckets=4)
+    scd2_merge_table(lake, first, table, "user_id", 1)
     expected = state(scd2_apply(first, second, "user_id"))
-
-    scd2_merge_table(lake, second, table, "user_id", buckets=4)
-    assert state(read_dimension(lake, table)) == expected
-    scd2_merge_table(lake, second, table, "user_id", buckets=4)
-    assert state(read_dimension(lake, table)) == expected
-
-    # As if the run had stopped after the closed rows: some buckets still hold the old rows.
-    old = first.join(second.where("user_id < 5").select("user_id"), "user_id", "left_semi")
-    untouched = lake.read(f"{table}/current")
-    hit = [r.key_bucket for r in untouched.join(old, "user_id", "left_semi").select("key_bucket").distinct().collect()]
-    from repopulse.sinks.keyed import key_bucket
-
-    restored = first.withColumn("key_bucket", key_bucket("user_id", 4)).where(F.col("key_bucket").isin(hit[:1]))
-    lake.overwrite_partitions(restored, f"{table}/current", ["key_bucket"])
-    scd2_merge_table(lake, second, table, "user_id", buckets=4)
-    assert state(read_dimension(lake, table)) == expected
-
-
-def test_upsert_table_touches_only_buckets_of_the_source(spark, lake):
+    for batch, number in ((second, 2), (second, 2), (first, 1)):
+        scd2_merge_table(lake, batch, table, "user_id", number)
+        if number == 2 or batch is first:
+            assert state(read_dimension(lake, table).select(*first.columns)) == expected
+    # Only the ten changed and five new versions are written by the second batch.
+    assert lake.read(table).where("batch = 2").count() == 15
+    some = spark.createDataFrame([(3,), (24,)], "user_id BIGINT")
+    assert read_dimension(lake, table, only=some).count() == 3
+
+
+def test_upserts_write_their_rows_only(spark, lake):
+    table = "t/master"
     target = spark.range(100).select("id", F.lit(1).alias("version"))
-    upsert_table(lake, target, "t/master", "id", "version", buckets=8)
-    source = spark.createDataFrame([(5, 2), (500, 1)], "id BIGINT, version INT")
-    before = {r.key_bucket: r.f for r in _files(lake)}
-    upsert_table(lake, source, "t/master", "id", "version", buckets=8)
-    after = {r.key_bucket: r.f for r in _files(lake)}
-    changed = [bucket for bucket in after if after[bucket] != before.get(bucket)]
-    assert 1 <= len(changed) <= 2
-    rows = {r.id: r.version for r in lake.read("t/master").collect()}
-    assert len(rows) == 101 and rows[5] == 2 and rows[500] == 1
-
-
-def _files(lake):
-    read = lake.read("t/master").withColumn("f", F.col("_metadata.file_name"))
-    return read.groupBy("key_bucket").agg(F.sort_array(F.collect_set("f")).cast("string").alias("f")).collect()
+    upsert_table(lake, target, table, 1)
+    source = spark.createDataFrame([(5, 2), (7, 0), (500, 1), (8, None)], "id BIGINT, version INT")
+    before = lake.read(table).inputFiles()
+    for _ in range(2):
+        upsert_table(lake, source, table, 2)
+    assert set(before) < set(lake.read(table).inputFiles())
+    assert lake.read(table).count() == 104
+    merged = state_of(upsert_newest(target, source, "id", "version"))
+    assert state_of(read_keyed(lake, table, "id", "version")) == merged
+    for _ in range(2):
+        compact(lake, table, "id", "version")
+        assert state_of(read_keyed(lake, table, "id", "version")) == merged
+    assert lake.partitions(table) == ["batch=2"]
+    one = spark.createDataFrame([(5,)], "id BIGINT")
+    assert state_of(read_keyed(lake, table, "id", "version", only=one)) == {5: 2}
+
+
+def test_a_null_version_of_the_first_batch_stays(spark, lake):
+    schema = "id BIGINT, version INT"
+    upsert_table(lake, spark.createDataFrame([(1, None), (2, 1)], schema), "t/m", 1)
+    upsert_table(lake, spark.createDataFrame([(1, 5), (2, None)], schema), "t/m", 2)
+    assert state_of(read_keyed(lake, "t/m", "id", "version")) == {1: None, 2: 1}
+
+
+def state_of(df):
+    return {r.id: r.version for r in df.collect()}
