@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from repopulse.functions import text
-from repopulse.operators.events import EVENT_TABLES
-from repopulse.operators.metrics import COUNTED_TYPES, DAILY_TOP, HOURLY_TOP
-
 FORTNIGHT_START = "TIMESTAMP '2024-01-08 00:00:00'"
 FORTNIGHT_END = "TIMESTAMP '2024-01-22 00:00:00'"
 FIRST = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -33,7 +29,7 @@ bronze AS (
   FROM events
 )"""
 
-_KEPT_TYPES = ", ".join(f"'{name}'" for name in EVENT_TABLES)
+_KEPT_TYPES = "'WatchEvent', 'ForkEvent', 'PullRequestEvent', 'PushEvent', 'IssuesEvent'"
 SILVER = f"""
 silver AS (
   SELECT id AS event_id, repo_id, actor_id, type AS event_type, action, created_at, ingested_at
@@ -77,12 +73,12 @@ def _title(value: str) -> str:
 
 
 def _stripped(value: str) -> str:
-    without_at = f"regexp_replace({value}, '{text.COMPANY_LEADING_AT}', '')"
-    return f"regexp_replace({without_at}, '{text.COMPANY_DROPPED_CHARACTERS}', '', 'g')"
+    without_at = f"regexp_replace({value}, '^@', '')"
+    return rf"regexp_replace({without_at}, '[^\p{{L}}\p{{N}}\s\-_&,().]', '', 'g')"
 
 
 def _location_words(value: str) -> str:
-    spaced = rf"regexp_replace({value}, '{text.LOCATION_PUNCTUATION}', ' ', 'g')"
+    spaced = rf"regexp_replace({value}, '[()\[\],]', ' ', 'g')"
     return rf"trim(regexp_replace({spaced}, '\s+', ' ', 'g'))"
 
 
@@ -158,9 +154,18 @@ dimension AS (
 )"""
 
 
-def _counts(suffix: str, kinds: tuple[str, ...] = tuple(COUNTED_TYPES)) -> str:
+_COUNTED = {
+    "star": "WatchEvent",
+    "fork": "ForkEvent",
+    "pr": "PullRequestEvent",
+    "issues": "IssuesEvent",
+    "push": "PushEvent",
+}
+
+
+def _counts(suffix: str, kinds: tuple[str, ...] = tuple(_COUNTED)) -> str:
     return ", ".join(
-        f"CAST(count(*) FILTER (WHERE event_type = '{COUNTED_TYPES[kind]}') AS BIGINT)"
+        f"CAST(count(*) FILTER (WHERE event_type = '{_COUNTED[kind]}') AS BIGINT)"
         f" AS {kind}{suffix}"
         for kind in kinds
     )
@@ -381,7 +386,7 @@ SELECT * FROM hourly""",
 {_named('hourly')}""",
     "q_hourly_top20": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
 SELECT repo_id, ingested_at, star_count, fork_count, star_rank
-FROM hourly_ranked WHERE star_rank <= {HOURLY_TOP}""",
+FROM hourly_ranked WHERE star_rank <= 20""",
     "q_hourly_top3": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
 SELECT repo_id, ingested_at, star_count, fork_count, star_rank
 FROM hourly_ranked WHERE star_rank <= 3""",
@@ -390,7 +395,7 @@ FROM hourly_ranked WHERE star_rank <= 3""",
     "q_repo_metrics_hourly_late": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
 SELECT * FROM hourly""",
     "q_repo_metrics_daily_top500": f"""{_with(BRONZE, SILVER)}
-{_daily('silver')} ORDER BY star_count DESC, repo_id, created_date LIMIT {DAILY_TOP}""",
+{_daily('silver')} ORDER BY star_count DESC, repo_id, created_date LIMIT 500""",
     "q_stage_daily": f"""{_with(BRONZE, SILVER)}
 SELECT * FROM ({_daily('silver')}) WHERE created_date = DATE '2024-01-15'""",
     "q_stage_hourly": f"""{_with(BRONZE, SILVER, _hourly('silver', 'hourly'))}
