@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repopulse.functions.text import user_node_id
@@ -14,9 +15,11 @@ from repopulse.functions.timeframes import event_time
 # node ids -> one JSON object (or None) per id, in order. Runs on executors.
 Lookup = Callable[[Sequence[str]], Sequence[str | None]]
 
-# Users per request, and how many partitions ask at once.
+# Users per request, how many partitions ask at once, and how many
+# requests each of them has under way.
 REQUEST_SIZE = 50
 REQUEST_PARTITIONS = 5
+REQUESTS_IN_FLIGHT = 5
 
 FOUND, MISSING, FAILED = "found", "missing", "failed"
 
@@ -35,11 +38,12 @@ def fetch_nodes(
     *,
     partitions: int = REQUEST_PARTITIONS,
     request_size: int = REQUEST_SIZE,
+    in_flight: int = REQUESTS_IN_FLIGHT,
 ) -> DataFrame:
     """One row per actor id: status (found, missing, failed), the node's JSON, the error.
 
-    ``partitions`` bounds how many tasks call the source at the same time. The
-    ids must be distinct already.
+    ``partitions`` tasks call the source at the same time, each with ``in_flight``
+    requests under way. The ids must be distinct already.
     """
 
     # Kept inside, so it travels to the executors by value and needs no package there.
@@ -55,14 +59,25 @@ def fetch_nodes(
         return answer.assign(node=nodes, error=None)
 
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for first in range(0, len(frame), request_size):
-                yield ask(frame.iloc[first : first + request_size])
+        with ThreadPoolExecutor(in_flight) as lanes:
+            for frame in frames:
+                starts = range(0, len(frame), request_size)
+                yield from lanes.map(ask, [frame.iloc[at : at + request_size] for at in starts])
 
     ids = actors.select("actor_id", user_node_id(F.col("actor_id").cast("string")).alias("node_id"))
     return ids.repartition(partitions, "actor_id").mapInPandas(fetch, RESPONSE_SCHEMA)
 
 
+def best_answers(responses: DataFrame) -> DataFrame:
+    """One answer per actor where some were asked for again: any other before a failed one."""
+    answered_first = Window.partitionBy("actor_id").orderBy(F.col("status") == FAILED, "status", "node")
+    return (
+        responses.withColumn("_nth", F.row_number().over(answered_first))
+        .where(F.col("_nth") == 1)
+        .drop("_nth")
+    )
+
+
 def flatten_nodes(responses: DataFrame) -> DataFrame:
     """User attributes from the JSON of found nodes; missing counts are 0, bad dates null."""
     node = F.from_json("node", NODE_SCHEMA).alias("n")

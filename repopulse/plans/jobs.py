@@ -23,9 +23,12 @@ from repopulse.functions.timeframes import (
 from repopulse.operators import metrics
 from repopulse.operators.actors import prepare_actor_details
 from repopulse.operators.enrich import (
+    FAILED,
     REQUEST_PARTITIONS,
     REQUEST_SIZE,
+    REQUESTS_IN_FLIGHT,
     Lookup,
+    best_answers,
     fetch_nodes,
     fetch_summary,
     flatten_nodes,
@@ -254,17 +257,23 @@ def fetch_actor_details(
     *,
     partitions: int = REQUEST_PARTITIONS,
     request_size: int = REQUEST_SIZE,
+    in_flight: int = REQUESTS_IN_FLIGHT,
 ) -> dict[str, int]:
     """Look up the actors active in the target hour; returns how many were found, missing, failed.
 
-    Answers are written first and read back, so the source is asked once.
+    Answers are written first and read back, so the source is asked once. Run
+    again, it asks only for actors without an answer.
     """
     hour = Interval.hour(target)
     stamp = ntz_literal(hour.start)
+    answered = lake.read_window(ACTOR_FETCH_LOG, hour).where(F.col("status") != FAILED)
     active = metrics.active_actors(lake.read_window(SILVER_EVENTS, hour))
-    answers = fetch_nodes(active, lookup, partitions=partitions, request_size=request_size)
-    lake.overwrite_hours(answers.withColumn("ingested_at", stamp), ACTOR_FETCH_LOG)
-    kept = lake.read_window(ACTOR_FETCH_LOG, hour)
+    asked = active.join(answered.select("actor_id"), "actor_id", "left_anti")
+    answers = fetch_nodes(
+        asked, lookup, partitions=partitions, request_size=request_size, in_flight=in_flight
+    )
+    lake.append_hours(answers.withColumn("ingested_at", stamp), ACTOR_FETCH_LOG)
+    kept = best_answers(lake.read_window(ACTOR_FETCH_LOG, hour))
     lake.overwrite_hours(flatten_nodes(kept).withColumn("ingested_at", stamp), ACTOR_DETAIL_RAW)
     return {row.status: row.n_actors for row in fetch_summary(kept).collect()}
 

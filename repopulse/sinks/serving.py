@@ -85,9 +85,12 @@ def staged_window(gold: DataFrame, interval: Interval, column: str = "ingested_a
 def stage(
     df: DataFrame, target: JdbcTarget, table: str, connections: int = WRITE_CONNECTIONS
 ) -> None:
-    """Replace the rows of a staging table. More connections write in parallel."""
+    """Replace the rows of a staging table. More connections write in parallel.
+
+    The shuffle before the writer leaves the scan its own number of tasks.
+    """
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .options(**target.write_options(table))
         .mode("overwrite")

@@ -240,6 +240,19 @@ def test_a_star_of_the_last_minute_counts_for_its_day(spark, lake, tmp_path):
     assert rows == {3: (2, 0), 4: (0, 1)}
 
 
+def test_a_rerun_asks_only_for_actors_without_an_answer(spark, lake, files):
+    jobs.run_hour(lake, files[H11], H11, "r11")
+
+    def shaky(node_ids):
+        raise TimeoutError("no answer")
+
+    assert jobs.fetch_actor_details(lake, H11, shaky) == {"failed": 3}
+    assert jobs.fetch_actor_details(lake, H11, lookup, partitions=2, request_size=1) == {"found": 3}
+    # Nobody is left to ask.
+    assert jobs.fetch_actor_details(lake, H11, shaky) == {"found": 3}
+    assert lake.read(jobs.ACTOR_DETAIL_RAW).count() == 3
+
+
 def test_missing_hours_are_loaded(spark, lake, files, tmp_path):
     jobs.ingest_hour(lake, files[H11], H11)
     morning = Interval.of(H10, "2026-03-03T13:00:00")
