@@ -4,8 +4,7 @@ Documents are linked if their sets of distinct five-word shingles have a Jaccard
 similarity of 0.75 or more. Sets that are equal are one class and go on as its
 smallest ``doc_id``. A class has 128 compressed registers (see
 :mod:`repopulse.llm.hyperminhash`); 32 bands of four are the candidate search, which
-misses a pair at 0.75 with a chance of 5 in a million. Bands of empty registers only
-are left out.
+misses a pair at 0.75 with a chance of 5 in a million.
 
 Buckets are never paired out. In each round a few hubs of a bucket are compared with
 its other members that are not yet in the hub's component; a hub that was compared with
@@ -13,7 +12,7 @@ all is done there. Hubs of small components come first and their number grows fo
 a round, until no bucket has two components with members left to compare. So every
 candidate pair is compared or already connected, and a bucket of copies costs its size
 once. A pair is compared by a collision-corrected estimate first, which drops it only
-five standard deviations below 0.75, and then on the full sets.
+six standard deviations below 0.75, and then on the full sets.
 
 Defined cases: a text that is null or has no words has the empty set and is linked with
 nothing; with fewer than five words the whole sequence is the one shingle. Equal texts
@@ -37,7 +36,7 @@ from repopulse.llm.components import components
 SHINGLE_WORDS = 5
 SIMILAR, OF = 75, 100  # 100 * intersection >= 75 * union
 FIRST_HUBS, MORE_HUBS = 4, 4
-SIGMAS = 5.0
+SIGMAS = 6.0
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -124,7 +123,7 @@ def _sketched(texts: DataFrame) -> DataFrame:
 
 def _component_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """``node``, ``component`` of the classes that some verified link joins."""
-    spread = classes.select("rep", F.posexplode("bands").alias("band", "key")).where("key <> -1")
+    spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     crowded = (
         spread.groupBy("band", "key")
         .agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))
@@ -196,9 +195,10 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         .distinct()
     )
     moved = stored(components(drawn), "moved")
-    lowered = labels.join(
-        moved.withColumnsRenamed({"node": "component", "component": "lower"}), "component", "left"
-    ).select("node", F.coalesce("lower", "component").alias("component"))
+    lower = moved.select(F.col("component").alias("lower"), F.col("node").alias("component"))
+    lowered = labels.join(lower, "component", "left").select(
+        "node", F.coalesce("lower", "component").alias("component")
+    )
     # A node that had no link so far has no label of its own yet.
     added = moved.join(labels.select("node"), "node", "left_anti")
     return stored(lowered.union(added.select("node", "component")), "components")

@@ -101,7 +101,20 @@ def test_estimates_are_near_the_truth():
             sketches = [hyperminhash.registers(x)[None, :] for x in (a, b)]
             found.append(hyperminhash.estimate(*sketches, np.array([n]), np.array([n]))[0][0])
         assert abs(np.mean(found) - share) < 0.03
-    assert (hyperminhash.registers(np.array([3], dtype=np.uint64)) != hyperminhash.EMPTY).sum() == 1
+    # A small set fills all registers with its own.
+    assert len(set(hyperminhash.registers(np.array([3, 900], dtype=np.uint64)).tolist())) == 2
+
+
+def test_small_sets_share_bands_as_they_share_elements():
+    chance = np.random.default_rng(6)
+    for small, large in ((3, 4), (6, 8), (30, 40)):
+        hits = []
+        for _ in range(300):
+            pool = chance.integers(0, 1 << 63, large, dtype=np.uint64) * np.uint64(2)
+            a, b = (hyperminhash.bands(hyperminhash.registers(x)) for x in (pool[:small], pool))
+            hits.append((a == b).sum())
+        assert abs(np.mean(hits) / hyperminhash.BANDS - 0.75**hyperminhash.BAND_ROWS) < 0.04
+        assert min(hits) > 0
 
 
 def plain_dedup(rows, min_words=4):
