@@ -6,13 +6,14 @@ smallest ``doc_id``. A class has 128 compressed registers (see
 :mod:`repopulse.llm.hyperminhash`); 32 bands of four are the candidate search, which
 misses a pair at 0.75 with a chance of 5 in a million.
 
-Buckets are never paired out. In each round a few hubs of a bucket are compared with
-its other members that are not yet in the hub's component; a hub that was compared with
-all is done there. Hubs of small components come first and their number grows fourfold
-a round, until no bucket has two components with members left to compare. So every
-candidate pair is compared or already connected, and a bucket of copies costs its size
-once. A pair is compared by a collision-corrected estimate first, which drops it only
-six standard deviations below 0.75, and then on the full sets.
+Buckets are never paired out as rows. First each bucket's smallest member is compared
+with its others, by a collision-corrected estimate that drops a pair only six standard
+deviations below 0.75, and then on the full sets; that links most copies. Buckets whose
+members are still in several components are compared in full inside tasks: their sets
+are dealt to slices of bounded size, every two slices meet in one task, and the task
+counts common shingles by a matrix product and returns a spanning forest of the links it
+finds. So every candidate pair is compared or already connected, while what is
+shuffled and returned follows the members, not the pairs.
 
 Defined cases: a text that is null or has no words has the empty set and is linked with
 nothing; with fewer than five words the whole sequence is the one shingle. Equal texts
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.llm import hyperminhash
@@ -35,7 +36,9 @@ from repopulse.llm.components import components
 
 SHINGLE_WORDS = 5
 SIMILAR, OF = 75, 100  # 100 * intersection >= 75 * union
-FIRST_HUBS, MORE_HUBS = 4, 4
+SLICE_SHINGLES = 200_000  # of a bucket's slice; a member counts for LEAST_COUNTED at least
+LEAST_COUNTED = 500
+COLUMNS_AT_ONCE = 4_096
 SIGMAS = 6.0
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -131,55 +134,110 @@ def _component_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
         .drop("last")
     )
     buckets = stored(spread.join(crowded, ["band", "key"]), "buckets").dropDuplicates()
-    pairs = stored(
-        buckets.where("rep <> hub")
-        .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        .distinct(),
-        "pairs",
-    )
-    links = stored(_verified(texts, classes, pairs), "links")
+    asked = buckets.select(F.col("rep").alias("_rep")).distinct()
+    sets = stored(_sets(texts, asked), "sets")
+    pairs = buckets.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    links = stored(_verified(classes, sets, pairs.distinct()), "links")
     labels = stored(components(links), "components")
-    open_members = buckets.where("rep <> hub").drop("hub")
-    tested, hubs = pairs, FIRST_HUBS
-    while True:
-        known = labels.select(F.col("node").alias("rep"), "component")
-        live = open_members.join(known, "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep")
-        )
-        parts = live.groupBy("band", "key", "component").agg(F.count("*").alias("size"))
-        split = (
-            parts.groupBy("band", "key")
-            .agg(F.count("*").alias("n"))
-            .where("n > 1")
-            .drop("n")
-        )
-        live = stored(
-            live.join(split, ["band", "key"], "left_semi").join(parts, ["band", "key", "component"]),
-            "open-buckets",
-        )
-        if live.isEmpty():
-            return labels
-        small_first = Window.partitionBy("band", "key").orderBy("size", "component", "rep")
-        chosen = stored(
-            live.withColumn("nth", F.row_number().over(small_first))
-            .where(F.col("nth") <= hubs)
-            .select("band", "key", F.col("rep").alias("hub"), F.col("component").alias("hub_in")),
-            "hubs",
-        )
-        pairs = stored(
-            live.join(chosen, ["band", "key"])
-            .where("component <> hub_in")
-            .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti"),
-            "pairs",
+    return _merged(labels, stored(_links_inside(buckets, classes, sets, labels), "links"))
+
+
+def _sets(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """``rep`` and its sorted shingles as little-endian 64-bit numbers."""
+    wanted = texts.join(asked, F.col("doc_id") == F.col("_rep"), "left_semi")
+
+    def setter():
+        return lambda doc_id, text: [(doc_id, shingles(text).astype("<u8").tobytes())]
+
+    return per_row(wanted, "rep long, shingles binary", ("doc_id", "text"), setter)
+
+
+def _links_inside(
+    buckets: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame
+) -> DataFrame:
+    """Links between components that meet in a bucket."""
+    known = labels.select(F.col("node").alias("rep"), "component")
+    sizes = classes.select("rep", F.col("n_shingles").alias("n")).dropDuplicates(["rep"])
+    members = (
+        buckets.select("band", "key", "rep")
+        .join(known, "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
+        .join(sizes, "rep")
+    )
+    members = stored(members, "members")
+    split = (
+        members.groupBy("band", "key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.sum(F.greatest("n", F.lit(LEAST_COUNTED))).alias("total"),
         )
-        more = stored(_verified(texts, classes, pairs), "links")
-        labels = _merged(labels, more)
-        tested, hubs = tested.union(pairs), hubs * MORE_HUBS
-        open_members = live.join(
-            chosen.select("band", "key", F.col("hub").alias("rep")), ["band", "key", "rep"], "left_anti"
-        ).select("band", "key", "rep")
+        .where("low <> high")
+        .select("band", "key", F.ceil(F.col("total") / SLICE_SHINGLES).cast("int").alias("slices"))
+    )
+    slice_ = F.pmod(F.xxhash64("rep", "band"), F.col("slices")).cast("int")
+    # A member goes to the meetings of its slice with every slice, itself included.
+    meetings = F.transform(
+        F.sequence(F.lit(0), F.col("slices") - 1),
+        lambda other: F.struct(F.least("own", other).alias("i"), F.greatest("own", other).alias("j")),
+    )
+    dealt = (
+        members.join(split, ["band", "key"])
+        .withColumn("own", slice_)
+        .withColumn("meeting", F.explode(meetings))
+        .select("band", "key", "meeting.i", "meeting.j", "own", "rep", "component")
+        .join(sets, "rep")
+    )
+
+    def meet(frame):
+        import pandas as pd
+
+        found = _forest(
+            frame["rep"].to_numpy(), frame["component"].to_numpy(), frame["own"].to_numpy(),
+            [np.frombuffer(s, "<u8") for s in frame["shingles"]],
+        )
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("band", "key", "i", "j").applyInPandas(meet, "a long, b long").distinct()
+
+
+def _forest(reps, own_component, own_slice, sets) -> list[tuple[int, int]]:
+    """Links that join the components of a meeting; pairs of one slice only where both are it."""
+    if len(set(own_component)) < 2:
+        return []
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = seen[column] > 1
+    row, column = row[often], column[often]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
+        low, high = np.searchsorted(column, [first, first + COLUMNS_AT_ONCE])
+        present = np.zeros((len(sets), COLUMNS_AT_ONCE), dtype=np.float32)
+        present[row[low:high], column[low:high] - first] = 1
+        shared += present @ present.T
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    common = shared.astype(np.int64)
+    linked = OF * common >= SIMILAR * (size[:, None] + size[None, :] - common)
+    linked &= own_component[:, None] != own_component[None, :]
+    if own_slice.min() != own_slice.max():
+        linked &= own_slice[:, None] != own_slice[None, :]
+    root = {c: c for c in own_component.tolist()}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            c = root[c] = root[root[c]]
+        return c
+
+    found = []
+    for x, y in np.argwhere(np.triu(linked)):
+        a, b = top(int(own_component[x])), top(int(own_component[y]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            found.append((int(reps[x]), int(reps[y])))
+    return found
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -204,24 +262,24 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(lowered.union(added.select("node", "component")), "components")
 
 
-def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(classes: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are similar enough on their full sets."""
-    likely = stored(_likely(classes, pairs), "likely-pairs")
-    asked = likely.select(F.col("a").alias("_rep")).union(likely.select("b")).distinct()
-    wanted = texts.join(asked, F.col("doc_id") == F.col("_rep"), "left_semi")
-
-    def setter():
-        return lambda doc_id, text: [(doc_id, shingles(text).view(np.int64).tolist())]
-
-    sets = per_row(wanted, "doc_id long, set array<long>", ("doc_id", "text"), setter)
-    sets = stored(sets, "sets")
     both = (
-        likely.join(sets.withColumnsRenamed({"doc_id": "a", "set": "set_a"}), "a")
-        .join(sets.withColumnsRenamed({"doc_id": "b", "set": "set_b"}), "b")
-        .withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
+        _likely(classes, pairs)
+        .join(sets.withColumnsRenamed({"rep": "a", "shingles": "set_a"}), "a")
+        .join(sets.withColumnsRenamed({"rep": "b", "shingles": "set_b"}), "b")
     )
-    union = F.size("set_a") + F.size("set_b") - F.col("shared")
-    return both.where(OF * F.col("shared") >= SIMILAR * union).select("a", "b").distinct()
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
+                a, b = (np.frombuffer(x.as_py(), "<u8") for x in (a, b))
+                common = len(a) + len(b) - len(np.union1d(a, b))
+                keep.append(OF * common >= SIMILAR * (len(a) + len(b) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def _likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -82,6 +82,13 @@ def test_chains_stars_and_large_groups(spark):
     assert keyed(found) == keyed(plain_components(rows))
 
 
+def test_slices_of_a_bucket_meet_each_other(spark, monkeypatch):
+    """Groups cut into many slices give the links of one slice."""
+    monkeypatch.setattr(near_dedup, "SLICE_SHINGLES", 20_000)
+    monkeypatch.setattr(near_dedup, "COLUMNS_AT_ONCE", 64)
+    test_chains_stars_and_large_groups(spark)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 300)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
