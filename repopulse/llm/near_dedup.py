@@ -213,9 +213,11 @@ def _forest(reps, own_component, own_slice, sets) -> list[tuple[int, int]]:
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
-        low, high = np.searchsorted(column, [first, first + COLUMNS_AT_ONCE])
-        present = np.zeros((len(sets), COLUMNS_AT_ONCE), dtype=np.float32)
+    columns = int(column[-1]) + 1 if len(column) else 0
+    for first in range(0, columns, COLUMNS_AT_ONCE):
+        width = min(COLUMNS_AT_ONCE, columns - first)
+        low, high = np.searchsorted(column, [first, first + width])
+        present = np.zeros((len(sets), width), dtype=np.float32)
         present[row[low:high], column[low:high] - first] = 1
         shared += present @ present.T
     size = np.array([len(s) for s in sets], dtype=np.int64)
