@@ -324,13 +324,17 @@ sets AS (
   FROM words),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
 flat AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+repeated AS (
+  SELECT shingle, row_number() OVER () AS k FROM flat GROUP BY shingle HAVING count(*) > 1),
+coded AS (SELECT doc_id, k FROM flat JOIN repeated USING (shingle)),
 shared AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
-  FROM flat x JOIN flat y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  FROM coded x JOIN coded y ON x.k = y.k AND x.doc_id < y.doc_id
   GROUP BY x.doc_id, y.doc_id),
-linked AS (
+halves AS (
   SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
   WHERE {OF} * c >= {SIMILAR} * (p.n + q.n - c)),
+linked AS (SELECT a, b FROM halves UNION ALL SELECT b, a FROM halves),
 reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION
