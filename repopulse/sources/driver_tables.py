@@ -2,7 +2,9 @@
 
 Attributes the tables lack are derived from their values: bot logins and late
 arrival from an event's ``value``, actor details from customer and nation. All
-rows of a table are used.
+rows of a table are used, but for two sets that are left out so that their cases
+occur: the customers of one market segment come with the second batch only, and
+one nation is missing from the gazetteer.
 """
 
 from __future__ import annotations
