@@ -1,14 +1,16 @@
-"""Benchmark decontamination by rare seeds and local alignment (operator 3).
+"""Benchmark decontamination by rare words and local alignment (operator 3).
 
-Words are runs of letters, digits and all beyond ASCII, the text in lower case. One pass over the documents finds all three-word runs of the test items and keeps
-the passages around them. How many documents have a run is then counted over all
-documents, and the rarer half of each item's runs (all that are no more frequent than
-its median) are its seeds. Passages with a seed are aligned with the item by
-Smith-Waterman on words (match 2, mismatch and gap -1), so edited copies are found as
-well. A document holds an item if 75 of 100 of the item's words are matched in one
-alignment.
+Words are runs of letters, digits and all beyond ASCII, the text in lower case. A document
+holds an item if 75 of 100 of the item's words are matched in one alignment by
+Smith-Waterman on words (match 2, mismatch and gap -1), so edited copies are found as well.
 
-Test items are searched in blocks of at most ``block_runs`` runs, whatever the size of
+One pass over the documents counts how many of them have each word of the test items. An
+item's seeds are its rarest words, just so many that what is left is less than 75 of 100:
+whatever matches enough of the item has a seed. A second pass aligns the item with the
+text around its seeds, as far as an alignment can reach. The counts decide how much is
+aligned, never what is found.
+
+Test items are searched in blocks of at most ``block_runs`` words, whatever the size of
 the benchmark; only such a block is sent to the tasks.
 
 Defined cases: null or empty texts and items hold nothing; items with fewer than three
@@ -19,47 +21,34 @@ either side gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from statistics import median_low
+from collections import defaultdict
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.llm.common import per_row, stored, texts_of
+from repopulse.llm.common import per_row, texts_of
 from repopulse.llm.licenses import words_of
 
-SEED_WORDS = 3
+LEAST_WORDS = 3
 SIMILAR, OF = 75, 100
 BLOCK_RUNS = 200_000
 MATCH, OTHER = 2, -1
-
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Words of text per matched word, at most: the score of an alignment is positive.
+REACH = 1 - MATCH // OTHER
 
 Items = dict[int, list[bytes]]
 
 
-def run_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each three-word run."""
-    from xxhash import xxh64_intdigest
-
-    n = len(words) - SEED_WORDS + 1
-    if n < 1:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-    mixed = np.zeros(n, dtype=np.uint64)
-    for k in range(SEED_WORDS):
-        mixed = (mixed * _FACTOR) ^ hashes[k : k + n]
-        mixed ^= mixed >> np.uint64(29)
-    return mixed * _FACTOR
-
-
-def align(item: list[bytes], passage: list[bytes]) -> tuple[int, int, int]:
+def align(item: list, passage: list) -> tuple[int, int, int]:
     """Matched words of the best local alignment and its place in the passage."""
     codes = {word: k for k, word in enumerate(dict.fromkeys(item))}
     text = np.array([codes.get(word, -1) for word in passage])
-    steps = np.arange(len(passage) + 1) * -OTHER
-    table = np.zeros((len(item) + 1, len(passage) + 1), dtype=np.int64)
+    steps = np.arange(len(passage) + 1, dtype=np.int32) * -OTHER
+    table = np.zeros((len(item) + 1, len(passage) + 1), dtype=np.int32)
     for i, word in enumerate(item, 1):
         above = table[i - 1]
         row = np.maximum(above + OTHER, 0)
@@ -89,7 +78,7 @@ def find_leaks(
         F.col(item_col).cast("long").alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).where("item_id IS NOT NULL")
-    # Runs are no more than characters; a block keeps below the bound by that count.
+    # Words are no more than characters; a block keeps below the bound by that count.
     chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = -(-chars // block_runs) or 1
     texts = texts_of(docs)
@@ -109,29 +98,41 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
-    passages = stored(_passages(texts, items), "passages")
-    counts = (
-        passages.select("doc_id", F.explode("runs").alias("run"))
-        .distinct()
-        .groupBy("run")
-        .agg(F.count("*").alias("n"))
-        .collect()
-    )  # at most the runs of one block
-    seeds = _seeds(items, {row["run"]: row["n"] for row in counts})
-
-    def aligner():
-        return lambda doc_id, first, words, runs, at: [
-            (doc_id, item, matched, len(items[item]), first + start, first + end)
-            for item, matched, start, end in _aligned(
-                words.split(b" "), zip(runs, at), seeds, items
-            )
-        ]
+    items = {item: words for item, words in items.items() if len(words) >= LEAST_WORDS}
+    codes = {word: k for k, word in enumerate(dict.fromkeys(w for own in items.values() for w in own))}
+    often = _documents_with(texts, codes)
+    wanted = {item: Wanted.of([codes[word] for word in words], often) for item, words in items.items()}
+
+    def finder():
+        seeds: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for item, own in wanted.items():
+            for code, before, after in own.seeds:
+                seeds[code].append((item, before, after))
+        is_seed = np.zeros(len(codes) + 1, dtype=bool)  # the last for words of no item
+        is_seed[list(seeds)] = True
+
+        def rows_of(doc_id, text):
+            words = words_of(text.lower())
+            known = np.fromiter((codes.get(word, -1) for word in words), np.int64, len(words))
+            at = np.flatnonzero(is_seed[known])
+            around: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            for place, code in zip(at.tolist(), known[at].tolist()):
+                for item, before, after in seeds[code]:
+                    around[item].append((max(0, place - before), place + after))
+            return [
+                (doc_id, item, matched, len(wanted[item].words), first + start, first + end)
+                for item, spans in around.items()
+                for first, last in _joined(spans)
+                for matched, start, end in wanted[item].held(known[first:last])
+            ]
+
+        return rows_of
 
     rows = per_row(
-        passages,
+        texts,
         "doc_id long, item_id long, matched long, item_words long, first_word long, end_word long",
-        ("doc_id", "first_word", "words", "runs", "at"),
-        aligner,
+        ("doc_id", "text"),
+        finder,
     )
     # The best alignment of a document and item; the earliest of equals.
     best = F.max(F.struct("matched", -F.col("first_word"), -F.col("end_word"), "item_words"))
@@ -146,81 +147,81 @@ def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
     )
 
 
-def _passages(texts: DataFrame, items: Items) -> DataFrame:
-    """Words around the items' runs in each document, with the runs and their places."""
-    every = np.unique(np.concatenate([np.empty(0, np.uint64), *map(run_hashes, items.values())]))
-    margin = 2 * max(map(len, items.values()), default=0)
+def _documents_with(texts: DataFrame, codes: dict[bytes, int]) -> np.ndarray:
+    """How many documents have each of the words."""
 
-    def finder():
-        def rows_of(doc_id, text):
-            words = words_of(text.lower())
-            hashes = run_hashes(words)
-            if not len(hashes) or not len(every):
-                return []
-            near = np.searchsorted(every, hashes)
-            hits = np.flatnonzero(every[np.minimum(near, len(every) - 1)] == hashes)
-            if not len(hits):
-                return []
-            cuts = np.flatnonzero(np.diff(hits) > 2 * margin) + 1
-            out = []
-            for part in np.split(hits, cuts):
-                first = max(0, int(part[0]) - margin)
-                last = min(len(words), int(part[-1]) + margin + SEED_WORDS)
-                out.append(
-                    (
-                        doc_id,
-                        first,
-                        b" ".join(words[first:last]),
-                        hashes[part].view(np.int64).tolist(),
-                        (part - first).tolist(),
-                    )
-                )
-            return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(codes), dtype=np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                found = [codes[w] for w in set(words_of(text.as_py().lower())) if w in codes]
+                counts[found] += 1
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["code", "n"])
 
-        return rows_of
+    often = np.zeros(len(codes), dtype=np.int64)
+    sums = texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    for row in sums.collect():  # at most the words of one block
+        often[row["code"]] = row["n"]
+    return often
 
-    schema = "doc_id long, first_word long, words binary, runs array<long>, at array<int>"
-    return per_row(texts, schema, ("doc_id", "text"), finder)
-
-
-Seeds = dict[int, list[tuple[int, int]]]
-
-
-def _seeds(items: Items, documents_with: dict[int, int]) -> Seeds:
-    """Run to (item, place in the item), for each item's rarer half of runs."""
-    seeds: Seeds = defaultdict(list)
-    for item, words in items.items():
-        runs = run_hashes(words).view(np.int64).tolist()
-        if runs:
-            limit = median_low(documents_with.get(run, 0) for run in runs)
-            for place, run in enumerate(runs):
-                if documents_with.get(run, 0) <= limit:
-                    seeds[run].append((item, place))
-    return dict(seeds)
-
-
-def _aligned(words: list[bytes], hits, seeds: Seeds, items: Items):
-    starts: dict[int, list[int]] = defaultdict(list)
-    for run, at in hits:
-        for item, place in seeds.get(run, ()):
-            starts[item].append(at - place)
-    for item, places in starts.items():
-        own = items[item]
-        places.sort()
-        group = [places[0], places[0]]
-        windows = [group]
-        for start in places[1:]:
-            if start - group[1] <= len(own):
-                group[1] = start
-            else:
-                group = [start, start]
-                windows.append(group)
-        for low, high in windows:
-            first = max(0, low - len(own) // 2)
-            passage = words[first : high + len(own) + len(own) // 2]
-            shared = (Counter(own) & Counter(passage)).total()
-            if OF * shared < SIMILAR * len(own):
-                continue
-            matched, start, end = align(own, passage)
-            if OF * matched >= SIMILAR * len(own):
-                yield item, matched, first + start, first + end
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(last, out[-1][1]))
+        else:
+            out.append((first, last))
+    return out
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """An item as codes of words; its seeds with the words that an alignment can have
+    before them and from them on."""
+
+    words: list[int]
+    needed: int
+    seeds: list[tuple[int, int, int]]
+    distinct: np.ndarray
+    times: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[int], often: np.ndarray) -> Wanted:
+        needed = -(-SIMILAR * len(words) // OF)
+        distinct, times = np.unique(np.array(words, dtype=np.int64), return_counts=True)
+        seeds, left = [], len(words)
+        for k in np.lexsort((distinct, often[distinct])).tolist():
+            if left < needed:
+                break
+            code = int(distinct[k])
+            places = [place for place, word in enumerate(words) if word == code]
+            seeds.append((code, REACH * (places[-1] + 1), REACH * (len(words) - places[0])))
+            left -= int(times[k])
+        return cls(words, needed, seeds, distinct, times)
+
+    def held(self, passage: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Alignments with enough matched words, and their places in the passage."""
+        near = np.minimum(np.searchsorted(self.distinct, passage), len(self.distinct) - 1)
+        shared = self.distinct[near] == passage
+        sums = np.concatenate([[0], np.cumsum(shared)])
+        ends = np.minimum(np.arange(len(passage)) + REACH * len(self.words), len(passage))
+        starts = np.flatnonzero(shared & (sums[ends] - sums[:-1] >= self.needed))
+        at = 0
+        while at < len(starts):
+            # Alignments that begin within an item's length of each other go together.
+            after = int(np.searchsorted(starts, starts[at] + len(self.words)))
+            pieces = [(int(starts[at]), int(ends[starts[after - 1]]))]
+            at = after
+            while pieces:
+                first, last = pieces.pop()
+                own = near[first:last][shared[first:last]]
+                counts = np.bincount(own, minlength=len(self.times))
+                if np.minimum(counts, self.times).sum() < self.needed:
+                    continue
+                matched, start, end = align(self.words, passage[first:last].tolist())
+                if matched >= self.needed:
+                    yield matched, first + start, first + end
+                else:  # a short passage of better score does not hide what lies beside it
+                    pieces += [(first, first + start), (first + end, last)]

@@ -256,3 +256,54 @@ def test_a_passage_in_a_third_of_all_documents_is_still_found(spark):
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
     found = {r.doc_id for r in decontaminate.find_leaks(docs, benchmark).collect()}
     assert found == set(range(0, 90, 3))
+
+
+def edited_every(item, step, mark):
+    return " ".join(f"{mark}{k}" if k % step == step - 1 else w for k, w in enumerate(item.split()))
+
+
+@pytest.mark.parametrize("copied", [False, True])
+@pytest.mark.parametrize("step", [4, 5, 6])
+def test_spread_edits_are_found_with_and_without_a_copy(spark, step, copied):
+    item = " ".join(f"word{k}" for k in range(40))
+    rows = [(0, "before it " + edited_every(item, step, "new") + " and after it"), (1, "other words")]
+    rows += [(2, item)] * copied
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert set(found) == ({0, 2} if copied else {0})
+    assert found[0].matched == 40 - 40 // step
+
+
+def test_leaks_are_found_without_any_three_words_in_a_row(spark):
+    item = [f"w{k}" for k in range(24)]
+    spread = " ".join(w + (" x" if k % 2 else "") for k, w in enumerate(item))
+    wide = " ".join(w + " x" for w in item)
+    hidden = " ".join(item[:17]) + " far away " * 40 + edited_every(" ".join(item), 4, "y")
+    rows = [(1, spread), (2, wide), (3, hidden), (4, " ".join(item[:17])), (5, " ".join(item[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert found == {1, 2, 3}
+
+
+def test_seeds_lose_no_alignment(spark):
+    chance = random.Random(5)
+    items = [(k, " ".join(chance.choices("abcdefghijkl", k=chance.randint(3, 12)))) for k in range(30)]
+    docs = []
+    for k in range(60):
+        words = chance.choices("abcdefghijklmnopqrst", k=chance.randint(0, 40))
+        at = chance.randint(0, len(words))
+        own = [w for w in items[k % 30][1].split() if chance.random() > 0.15]
+        docs.append((k, " ".join(words[:at] + own + words[at:])))
+    expected = set()
+    for doc_id, text in docs:
+        for item_id, item in items:
+            own, words = licenses.words_of(item), licenses.words_of(text)
+            if 100 * decontaminate.align(own, words)[0] >= 75 * len(own):
+                expected.add((doc_id, item_id))
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert expected and {(r.doc_id, r.item_id) for r in found} >= expected
