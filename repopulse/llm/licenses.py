@@ -1,8 +1,9 @@
 """License scan by ordered signature rules (operator 9).
 
 A text is reduced to its words (see ``WORD``), and rules are regular expressions over
-the words with one blank between them. A rule names a keyword; it runs only on texts
-that have it, which one automaton finds for all rules. Rules are ordered by priority:
+the words with one blank between them. A rule runs only on texts that have its keyword
+and, where it has names, one of them, which one automaton finds for all rules. Every match
+of a rule contains both, so no detection is lost by it. Rules are ordered by priority:
 a full notice goes before a statement of use, that before an identifier, that before a
 bare name. Of overlapping detections the one of better priority wins, and a detection
 that lies within another of equal priority goes. The three base phrases are always
@@ -33,14 +34,6 @@ _TO_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
 )
-# A text with none of these in its words has no rule run on it.
-_ROOTS = (
-    b"licen", b"copyright", b"copyleft", b"spdx", b"warrant", b"domain", b"redistribut",
-    b"permission", b"permitted", b"reserved", b"unauthorized", b"unencumbered", b"altered source",
-    b"contributors", b"available under", b"beer", b"gpl", b"bsd", b"apache", b"mozilla",
-    b"creative", b"cc0", b"wtfpl", b"opensource",
-)
-
 # label; how a text names the license; version words; where its text lies
 _FAMILIES = (
     ("apache", "apache(?: software)?", ("1 0", "1 1", "2 0"), "apache org licenses license"),
@@ -116,6 +109,7 @@ class Rule:
     priority: int
     keyword: str
     pattern: str
+    names: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -132,20 +126,21 @@ def signature_rules() -> tuple[Rule, ...]:
     rules = [Rule(label, NOTICE, _longest_word(words), words) for label, words in _NOTICES]
     under = "(?:licen[sc]ed|released|distributed|available|provided|published|covered) under"
     for label, name, versions, url in _FAMILIES:
+        names, place = tuple(f" {text}" for text in _spellings(name)), (f" {url}",)
         for version in versions:
             full = f"{label}-{version.replace(' ', '.')}"
             named = f"(?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?(?: version| v)? ?{version}"
             rules += [
-                Rule(full, STATEMENT, "under", f"{under} {named}"),
+                Rule(full, STATEMENT, "under", f"{under} {named}", names),
                 Rule(full, IDENTIFIER, "spdx", f"spdx license identifier {label.replace('-', ' ')} {version}"),
-                Rule(full, IDENTIFIER, url.split()[-1], f"{url} {version}"),
-                Rule(full, NAME, version.split()[0], f"{name}(?: licen[sc]e)?(?: version| v)? ?{version}"),
+                Rule(full, IDENTIFIER, url.split()[-1], f"{url} {version}", place),
+                Rule(full, NAME, version.split()[0], f"{name}(?: licen[sc]e)?(?: version| v)? ?{version}", names),
             ]
         rules += [
-            Rule(label, STATEMENT, "under", f"{under} (?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?"),
+            Rule(label, STATEMENT, "under", f"{under} (?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?", names),
             Rule(label, IDENTIFIER, "spdx", f"spdx license identifier {label.replace('-', ' ')}"),
-            Rule(label, IDENTIFIER, url.split()[-1], url),
-            Rule(label, NAME, "licen", f"{name} licen[sc]e"),
+            Rule(label, IDENTIFIER, url.split()[-1], url, place),
+            Rule(label, NAME, "licen", f"{name} licen[sc]e", names),
         ]
     return tuple(sorted(rules, key=lambda rule: rule.priority))
 
@@ -154,6 +149,35 @@ def _longest_word(pattern: str) -> str:
     return max(re.findall(r"(?<![(|?])\b[a-z]+\b(?![)|?])", pattern), key=len)
 
 
+def _spellings(pattern: str) -> list[str]:
+    """All texts of a pattern that has groups, alternatives, classes and ``?`` only."""
+
+    def either(at: int) -> tuple[list[str], int]:
+        out, at = series(at)
+        while pattern[at : at + 1] == "|":
+            more, at = series(at + 1)
+            out = out + more
+        return out, at
+
+    def series(at: int) -> tuple[list[str], int]:
+        out = [""]
+        while at < len(pattern) and pattern[at] not in "|)":
+            if pattern.startswith("(?:", at):
+                part, at = either(at + 3)
+                at += 1
+            elif pattern[at] == "[":
+                end = pattern.index("]", at)
+                part, at = list(pattern[at + 1 : end]), end + 1
+            else:
+                part, at = [pattern[at]], at + 1
+            if pattern[at : at + 1] == "?":
+                part, at = [*part, ""], at + 1
+            out = [a + b for a in out for b in part]
+        return out, at
+
+    return either(0)[0]
+
+
 def _flat(text: str) -> bytes:
     return text.encode("utf-8", "replace").translate(_TO_WORDS)
 
@@ -167,33 +191,40 @@ class Scanner:
     def __init__(self) -> None:
         import ahocorasick
 
-        self._rules: dict[str, list[tuple[Rule, re.Pattern]]] = {}
-        for rule in signature_rules():
-            self._rules.setdefault(rule.keyword, []).append(
-                (rule, re.compile(rf"(?<= )(?:{rule.pattern})(?= )"))
-            )
-        self._keywords = ahocorasick.Automaton()
-        for keyword in self._rules:
-            self._keywords.add_word(keyword, keyword)
-        self._keywords.make_automaton()
+        self._rules = [
+            (rule, re.compile(rf"(?<= )(?:{rule.pattern})(?= )")) for rule in signature_rules()
+        ]
+        sought: dict[str, list[int]] = {}
+        for k, (rule, _) in enumerate(self._rules):
+            for words in rule.names or (rule.keyword,):
+                sought.setdefault(words, []).append(k)
+        self._sought = ahocorasick.Automaton()
+        for words, rules in sought.items():
+            self._sought.add_word(words, tuple(rules))
+        self._sought.make_automaton()
 
     def scan(self, text: str) -> tuple[int, list[tuple[str, int]], list[Detection]]:
         """Number of words, base phrases as (label, first word), detections."""
         flat = _flat(text)
         words = flat.split()
-        if not any(root in flat for root in _ROOTS):
-            return len(words), [], []
         line = " " + b" ".join(words).decode("utf-8", "replace") + " "
+        phrases = [(phrase, label) for phrase, label in BASE if f" {phrase} " in line]
+        rules = self._running(line)
+        if not phrases and not rules:
+            return len(words), [], []
         starts = [0, *accumulate(len(word) + 1 for word in line[1:-1].split(" "))]
         base = [
             (label, bisect_right(starts, match.start()) - 1)
-            for phrase, label in BASE
+            for phrase, label in phrases
             for match in re.finditer(f"(?= {phrase} )", line)
         ]
-        return len(words), base, resolve(self._detections(line, starts))
+        return len(words), base, resolve(self._detections(line, starts, rules))
+
+    def _running(self, line: str) -> list[int]:
+        found = {k for rules in {rules for _, rules in self._sought.iter(line)} for k in rules}
+        return sorted(k for k in found if self._rules[k][0].keyword in line)
 
-    def _detections(self, line: str, starts: list[int]) -> list[Detection]:
-        present = {keyword for _, keyword in self._keywords.iter(line)}
+    def _detections(self, line: str, starts: list[int], rules: list[int]) -> list[Detection]:
         return [
             Detection(
                 rule.label,
@@ -201,8 +232,7 @@ class Scanner:
                 bisect_right(starts, match.start() - 1) - 1,
                 bisect_right(starts, match.end() - 1),
             )
-            for keyword in sorted(present)
-            for rule, pattern in self._rules[keyword]
+            for rule, pattern in map(self._rules.__getitem__, rules)
             for match in pattern.finditer(line)
         ]
 

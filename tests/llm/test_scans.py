@@ -118,6 +118,40 @@ def test_the_best_rule_wins(text, labels):
     assert {d.label for d in licenses.Scanner().scan(text)[2]} == labels
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Released under MPL 2.0", {"mpl-2.0"}),
+        ("This work is CC BY-SA 4.0", {"cc-by-sa-4.0"}),
+        ("distributed under the EPL-2.0", {"epl-2.0"}),
+        ("Data: ODbL 1.0", {"odbl-1.0"}),
+        ("covered under CDDL 1.0", {"cddl-1.0"}),
+        ("joinup.ec.europa.eu/eupl", {"eupl"}),
+        ("Available, under EPL 2.0", {"epl-2.0"}),
+    ],
+)
+def test_licenses_are_found_without_the_word(text, labels):
+    assert {d.label for d in licenses.Scanner().scan(text)[2]} == labels
+
+
+def test_what_selects_rules_loses_no_detection():
+    scan = licenses.Scanner().scan
+    rules = [(r, re.compile(rf"(?<= )(?:{r.pattern})(?= )")) for r in licenses.signature_rules()]
+    for rule, own in rules:
+        texts = licenses._spellings(rule.pattern.replace(".{1,60}?", "acme"))
+        for text in {texts[0], texts[-1], *random.Random(7).choices(texts, k=2)}:
+            line = f" so {text} it is "
+            assert own.search(line)
+            every = [
+                licenses.Detection(
+                    r.label, r.priority, line[: m.start()].count(" ") - 1, line[: m.end() + 1].count(" ") - 1
+                )
+                for r, pattern in rules
+                for m in pattern.finditer(line)
+            ]
+            assert scan("so  " + text.upper().replace(" ", ", ") + " it is")[2] == licenses.resolve(every)
+
+
 def test_there_are_hundreds_of_rules_in_order():
     rules = licenses.signature_rules()
     assert len(rules) > 300
