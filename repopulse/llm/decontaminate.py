@@ -14,7 +14,8 @@ Test items are searched in blocks of at most ``block_runs`` words, whatever the
 the benchmark; only such a block is sent to the tasks.
 
 Defined cases: null or empty texts and items hold nothing; items with fewer than three
-words are not searched. Items with equal text are found each. Rows with one ``doc_id``
+words are not searched. Items with equal text are found each, so are different texts with one
+``item_id``, and items without one (their ``item_id`` in the result is null). Rows with one ``doc_id``
 count as one document, null ones too. Other columns are not read. An empty table on
 either side gives no rows.
 """
@@ -40,7 +41,7 @@ MATCH, OTHER = 2, -1
 # Words of text per matched word, at most: the score of an alignment is positive.
 REACH = 1 - MATCH // OTHER
 
-Items = dict[int, list[bytes]]
+Items = list[tuple[int | None, list[bytes]]]
 
 
 def align(item: list, passage: list) -> tuple[int, int, int]:
@@ -77,15 +78,15 @@ def find_leaks(
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).where("item_id IS NOT NULL")
+    ).distinct()
     # Words are no more than characters; a block keeps below the bound by that count.
     chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = -(-chars // block_runs) or 1
     texts = texts_of(docs)
     found = None
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        own = {row["item_id"]: words_of(row["text"].lower()) for row in part.orderBy("item_id", "text").collect()}
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        own = [(row["item_id"], words_of(row["text"].lower())) for row in part.orderBy("item_id", "text").collect()]
         leaks = _block_leaks(texts, own)
         found = leaks if found is None else found.union(leaks)
     return found
@@ -98,14 +99,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
-    items = {item: words for item, words in items.items() if len(words) >= LEAST_WORDS}
-    codes = {word: k for k, word in enumerate(dict.fromkeys(w for own in items.values() for w in own))}
+    items = [(item_id, words) for item_id, words in items if len(words) >= LEAST_WORDS]
+    codes = {word: k for k, word in enumerate(dict.fromkeys(w for _, own in items for w in own))}
     often = _documents_with(texts, codes)
-    wanted = {item: Wanted.of([codes[word] for word in words], often) for item, words in items.items()}
+    ids = [item_id for item_id, _ in items]
+    wanted = [Wanted.of([codes[word] for word in words], often) for _, words in items]
 
     def finder():
         seeds: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for item, own in wanted.items():
+        for item, own in enumerate(wanted):
             for code, before, after in own.seeds:
                 seeds[code].append((item, before, after))
         is_seed = np.zeros(len(codes) + 1, dtype=bool)  # the last for words of no item
@@ -120,7 +122,7 @@ def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
                 for item, before, after in seeds[code]:
                     around[item].append((max(0, place - before), place + after))
             return [
-                (doc_id, item, matched, len(wanted[item].words), first + start, first + end)
+                (doc_id, item, ids[item], matched, len(wanted[item].words), first + start, first + end)
                 for item, spans in around.items()
                 for first, last in _joined(spans)
                 for matched, start, end in wanted[item].held(known[first:last])
@@ -130,13 +132,13 @@ def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
 
     rows = per_row(
         texts,
-        "doc_id long, item_id long, matched long, item_words long, first_word long, end_word long",
+        "doc_id long, item long, item_id long, matched long, item_words long, first_word long, end_word long",
         ("doc_id", "text"),
         finder,
     )
     # The best alignment of a document and item; the earliest of equals.
     best = F.max(F.struct("matched", -F.col("first_word"), -F.col("end_word"), "item_words"))
-    return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    return rows.groupBy("doc_id", "item", "item_id").agg(best.alias("b")).select(
         "doc_id",
         "item_id",
         "b.matched",

@@ -341,3 +341,17 @@ def test_seeds_lose_no_alignment(spark):
         spark.createDataFrame(items, "item_id long, text string"),
     ).collect()
     assert expected and {(r.doc_id, r.item_id) for r in found} >= expected
+
+
+def test_items_of_one_id_and_of_none_are_searched_each(spark):
+    benchmark = spark.createDataFrame(
+        [(1, "red green blue white"), (1, "north east south west"), (1, "red green blue white")]
+        + [(None, "spring summer autumn winter"), (None, "iron copper silver gold")],
+        "item_id long, text string",
+    )
+    held = ["red green blue white", "north east south west", "spring summer autumn winter", "none", "iron copper silver gold"]
+    docs = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
+    for block_runs in (200_000, 20):
+        found = decontaminate.find_leaks(docs, benchmark, block_runs).collect()
+        assert keyed((r.doc_id, r.item_id) for r in found) == keyed([(0, 1), (1, 1), (2, None), (4, None)])
+    assert [r.doc_id for r in decontaminate.without_leaks(docs, benchmark).collect()] == [3]
