@@ -13,8 +13,8 @@ aligned, never what is found.
 Test items are searched in blocks of at most ``block_runs`` words, whatever the size of
 the benchmark; only such a block is sent to the tasks.
 
-Defined cases: null or empty texts and items hold nothing; items with fewer than three
-words are not searched. Items with equal text are found each, so are different texts with one
+Defined cases: null or empty texts and items hold nothing. Short items are
+searched as well: one of a single word is held by every document that has the word. Items with equal text are found each, so are different texts with one
 ``item_id``, and items without one (their ``item_id`` in the result is null). Rows with one ``doc_id``
 count as one document, null ones too. Other columns are not read. An empty table on
 either side gives no rows.
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from repopulse.llm.common import per_row, texts_of
 from repopulse.llm.licenses import words_of
 
-LEAST_WORDS = 3
 SIMILAR, OF = 75, 100
 BLOCK_RUNS = 200_000
 MATCH, OTHER = 2, -1
@@ -99,7 +98,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _block_leaks(texts: DataFrame, items: Items) -> DataFrame:
-    items = [(item_id, words) for item_id, words in items if len(words) >= LEAST_WORDS]
+    items = [(item_id, words) for item_id, words in items if words]
     codes = {word: k for k, word in enumerate(dict.fromkeys(w for _, own in items for w in own))}
     often = _documents_with(texts, codes)
     ids = [item_id for item_id, _ in items]

@@ -355,3 +355,13 @@ def test_items_of_one_id_and_of_none_are_searched_each(spark):
         found = decontaminate.find_leaks(docs, benchmark, block_runs).collect()
         assert keyed((r.doc_id, r.item_id) for r in found) == keyed([(0, 1), (1, 1), (2, None), (4, None)])
     assert [r.doc_id for r in decontaminate.without_leaks(docs, benchmark).collect()] == [3]
+
+
+def test_items_of_few_words_are_searched(spark):
+    items = [(1, "zebra"), (2, "purple rain"), (3, "a1 a2 a3 a4 a5 a6 a7 a8"), (4, "b1 b2 b3 b4")]
+    texts = ["one zebra here", "some Purple Rain fell", "purple skies", "so a1 a2 x a4 a5 y a7 a8 on", "b1 b2 z b4"]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 1), (1, 2), (3, 3), (4, 4)]
