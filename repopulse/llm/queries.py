@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import decontaminate, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files
+from repopulse.llm import decontaminate, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files, vector_codes
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -59,6 +59,11 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, with_ids=False)
 
 
+def op11_bounded_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -76,10 +81,12 @@ QUERIES = {
         op8_chunk_fingerprints,
         op9_license_rules,
         op10_rans_token_files,
+        op11_bounded_vector_codes,
         pipeline,
     )
 }
 ORACLE = {
     "op2_hyperminhash_near_dedup": near_dedup.ORACLE,
     "op5_winnowed_line_dedup": line_dedup.ORACLE,
+    "op11_bounded_vector_codes": vector_codes.ORACLE,
 }
