@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import collocations, decontaminate, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_files, vector_codes
+from repopulse.llm import collocations, decontaminate, fingerprints, language, licenses, line_dedup, near_dedup, packing, phrase_parsing, quality, secrets, token_files, vector_codes
 from repopulse.llm.common import table
 from repopulse.llm.tokens import vocabulary_path
 from repopulse.session import scratch_path
@@ -64,6 +64,10 @@ def op11_bounded_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_parsing.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES = {
         op9_license_rules,
         op10_rans_token_files,
         op11_bounded_vector_codes,
+        op12_prefix_free_dedup,
         op13_suffix_collocations,
         pipeline,
     )
