@@ -203,10 +203,11 @@ def _collapsed(running: np.ndarray, alive: np.ndarray, n_words: int) -> tuple[np
 
 
 def _pointers(docs: DataFrame, bitmap, bits: int, heavy) -> DataFrame:
-    """Weighted suffixes ``lang, w0, w1, w2, n`` (``w2`` null at the end) with their ``route``.
+    """Weighted suffixes: ``pointer`` is ``w0 w1 w2``, a line end and the language, with
+    nothing for ``w2`` where the piece ends, and ``n`` its weight.
 
     ``bitmap`` and ``heavy`` are broadcast values: frequent words, and (lang, word) pairs
-    whose combinations are routed by three words.
+    whose combinations are routed by three words (``split``).
     """
 
     def run(batches):
@@ -218,35 +219,27 @@ def _pointers(docs: DataFrame, bitmap, bits: int, heavy) -> DataFrame:
                 wide = np.zeros(len(spelled), bool)
                 for number in range(2, len(spelled)):
                     bit = _bit(lang, spelled[number], bits)
-                    alive[number] = table[bit >> 3] >> (bit & 7) & 1
-                    wide[number] = alive[number] and (lang, spelled[number]) in very_frequent
+                    if table[bit >> 3] >> (bit & 7) & 1:
+                        alive[number] = True
+                        wide[number] = (lang, spelled[number]) in very_frequent
                 leaves, weights = _collapsed(running, alive, len(spelled))
-                hashes = np.fromiter(
-                    (xxhash.xxh64_intdigest(w, 7) for w in spelled), np.uint64, len(spelled)
-                )
                 split = wide[leaves[:, 0]] & wide[leaves[:, 1]]
-                seed = np.uint64(xxhash.xxh64_intdigest(lang))
-                route = (hashes[leaves[:, 0]] ^ seed) * np.uint64(0x9E3779B97F4A7C15) + hashes[leaves[:, 1]]
-                route = np.where(split, route * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[leaves[:, 2]], route)
+                vocabulary = pa.array(spelled, pa.binary())
                 for at in range(0, len(leaves), 100_000):
-                    part = leaves[at : at + 100_000]
-                    third = spelled[part[:, 2]]
-                    third[part[:, 2] == 0] = None
+                    rows = slice(at, at + 100_000)
+                    three = [vocabulary.take(pa.array(leaves[rows, depth])) for depth in range(DEPTH)]
+                    spelt = pc.binary_join_element_wise(*three, b" ")
+                    pointer = pc.binary_join_element_wise(spelt, lang.encode(), b"\n")
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([lang] * len(part)),
-                            _strings(spelled[part[:, 0]]),
-                            _strings(spelled[part[:, 1]]),
-                            _strings(third),
-                            pa.array(weights[at : at + 100_000], pa.int32()),
-                            pa.array(route[at : at + 100_000].view(np.int64)),
-                            pa.array(split[at : at + 100_000]),
+                            pointer.cast(pa.string()),
+                            pa.array(weights[rows], pa.int32()),
+                            pa.array(split[rows]),
                         ],
-                        names=["lang", "w0", "w1", "w2", "n", "route", "split"],
+                        names=["pointer", "n", "split"],
                     )
 
-    schema = "lang string, w0 string, w1 string, w2 string, n int, route long, split boolean"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "pointer string, n int, split boolean")
 
 
 def three_way_quicksort(
@@ -281,49 +274,52 @@ def three_way_quicksort(
     return found
 
 
-def _sorted_chunk(chunk: pa.Table, least: int) -> pa.RecordBatch | None:
+def _spelled(pointers: pa.Array) -> pa.Table:
+    """Language and words of pointers."""
+    parts = pc.split_pattern(pointers, "\n", max_splits=1)
+    words = pc.split_pattern(pc.list_element(parts, 0), " ")
+    columns = {"lang": pc.list_element(parts, 1)}
+    return pa.table(columns | {f"w{depth}": pc.list_element(words, depth) for depth in range(DEPTH)})
+
+
+def _said(rows: pa.Table, depth: int, n: np.ndarray) -> pa.Table:
+    third = rows.column("w2").combine_chunks() if depth == 3 else pa.nulls(rows.num_rows, pa.string())
+    columns = {name: rows.column(name) for name in ("lang", "w0", "w1")}
+    return pa.table(columns | {"w2": third, "n": pa.array(n, pa.int64())})
+
+
+def _sorted_chunk(chunk: pa.Table, least: int) -> pa.Table | None:
     """Counts of the phrases of whole routed groups; of split groups, pairs as parts."""
     route = chunk.column("route").to_numpy()
     weights = chunk.column("n").to_numpy().astype(np.int64)
+    split = chunk.column("split").to_numpy(zero_copy_only=False)
     bounds = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
     groups = np.diff(np.concatenate([bounds, [len(route)]]))
     totals = np.repeat(np.add.reduceat(weights, bounds), groups)
-    split = chunk.column("split").to_numpy(zero_copy_only=False)
+    pointers = chunk.column("pointer").combine_chunks()
     out: list[pa.Table] = []
-
-    def said(rows: pa.Table, depth: int, n: np.ndarray) -> None:
-        third = rows.column("w2").combine_chunks() if depth == 3 else pa.nulls(rows.num_rows, pa.string())
-        out.append(
-            pa.table(
-                {
-                    "lang": rows.column("lang"), "w0": rows.column("w0"), "w1": rows.column("w1"),
-                    "w2": third, "n": pa.array(n, pa.int64()),
-                }
-            )
-        )
-
-    pairs = chunk.filter(pa.array(split)).select(["lang", "w0", "w1", "n"])
-    if pairs.num_rows:
+    if split.any():
+        pairs = _spelled(pointers.filter(pa.array(split))).select(["lang", "w0", "w1"])
+        pairs = pairs.append_column("n", pa.array(weights[split]))
         summed = pairs.group_by(["lang", "w0", "w1"]).aggregate([("n", "sum")])
-        said(summed, 2, summed.column("n_sum").to_numpy())
+        out.append(_said(summed, 2, summed.column("n_sum").to_numpy()))
     kept = np.flatnonzero(totals >= least)
     if len(kept):
-        rows = chunk.take(pa.array(kept))
+        rows = _spelled(pointers.take(pa.array(kept)))
         columns = []
-        for name in ("lang", "w0", "w1", "w2"):
-            coded = rows.column(name).combine_chunks().dictionary_encode()
-            codes = pc.fill_null(coded.indices.cast(pa.int64()), -1).to_numpy() + 1
-            columns.append(codes)
-        words = np.stack(columns, axis=1)
-        found = three_way_quicksort(words, weights[kept], least)
+        for name in rows.column_names:
+            values = rows.column(name).combine_chunks()
+            numbers = values.dictionary_encode().indices.to_numpy().astype(np.int64) + 1
+            if name == "w2":
+                numbers[pc.equal(values, "").to_numpy(zero_copy_only=False)] = 0
+            columns.append(numbers)
+        found = three_way_quicksort(np.stack(columns, axis=1), weights[kept], least)
         for depth in (2, 3):
-            hits = [(at, n) for at, d, n in found if d == depth + 1]
-            if hits:
-                at, n = np.array([h[0] for h in hits]), np.array([h[1] for h in hits])
-                if depth == 2:  # split pairs are added up elsewhere
-                    whole = ~split[kept][at]
-                    at, n = at[whole], n[whole]
-                said(rows.take(pa.array(at)), depth, n)
+            hits = np.array([(at, n) for at, d, n in found if d == depth + 1], np.int64).reshape(-1, 2)
+            if depth == 2:  # split pairs are added up elsewhere
+                hits = hits[~split[kept][hits[:, 0]]]
+            if len(hits):
+                out.append(_said(rows.take(pa.array(hits[:, 0])), depth, hits[:, 1]))
     return pa.concat_tables(out).combine_chunks() if out else None
 
 
@@ -351,7 +347,10 @@ def phrase_counts(pointers: DataFrame, least: int = MIN_COUNT) -> DataFrame:
             if result is not None:
                 yield from result.to_batches()
 
-    routed = pointers.repartition("route").sortWithinPartitions("route")
+    # The route is worked out on both sides of the shuffle, which then need not carry it.
+    leading = F.substring_index("pointer", " ", 2)
+    route = F.xxhash64(F.when(F.col("split"), F.col("pointer")).otherwise(leading))
+    routed = pointers.repartition(route).withColumn("route", route).sortWithinPartitions("route")
     parts = routed.mapInArrow(run, "lang string, w0 string, w1 string, w2 string, n long")
     return parts.groupBy("lang", "w0", "w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
@@ -475,11 +474,15 @@ two AS MATERIALIZED (SELECT lang, w0, w1, count(*) AS f FROM running WHERE w1 IS
   GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
 three AS MATERIALIZED (SELECT lang, w0, w1, w2, count(*) AS f FROM running WHERE w2 IS NOT NULL
   GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+longer AS (
+  SELECT lang, a, b, max(f) AS f FROM (
+    SELECT lang, w0 AS a, w1 AS b, f FROM three UNION ALL SELECT lang, w1, w2, f FROM three)
+  GROUP BY ALL),
 cuts AS (
   SELECT t.lang, t.w0 || ' ' || t.w1 AS phrase, t.f AS a, 1 AS k, x.f AS l, y.f AS r
   FROM two t JOIN one x ON x.lang = t.lang AND x.w0 = t.w0 JOIN one y ON y.lang = t.lang AND y.w0 = t.w1
-  WHERE NOT EXISTS (SELECT 1 FROM three b WHERE b.lang = t.lang AND 100 * b.f >= {KEPT_SHARE} * t.f
-                    AND ((b.w0 = t.w0 AND b.w1 = t.w1) OR (b.w1 = t.w0 AND b.w2 = t.w1)))
+  LEFT JOIN longer b ON b.lang = t.lang AND b.a = t.w0 AND b.b = t.w1
+  WHERE b.f IS NULL OR 100 * b.f < {KEPT_SHARE} * t.f
   UNION ALL
   SELECT t.lang, t.w0 || ' ' || t.w1 || ' ' || t.w2, t.f, 1, x.f, y.f
   FROM three t JOIN one x ON x.lang = t.lang AND x.w0 = t.w0
