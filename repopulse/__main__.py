@@ -43,6 +43,11 @@ JOBS = {
         ("archive_folder", *WINDOW, "run_id"),
         lambda lake, a: jobs.load_missing_hours(lake, a.archive_folder, _interval(a), a.run_id),
     ),
+    "ingest-landed": (
+        ("archive_folder", "progress", "run_id"),
+        lambda lake, a: jobs.ingest_landed(lake, a.archive_folder, a.progress, a.run_id),
+    ),
+    "take-up": (WINDOW, lambda lake, a: len(jobs.take_up(lake, _interval(a)))),
     "check-events": (
         (*WINDOW, "run_id", "mode"),
         lambda lake, a: jobs.check_events(lake, _interval(a), a.run_id, mode=a.mode),
@@ -52,6 +57,10 @@ JOBS = {
     "load-actor-master": (WINDOW, lambda lake, a: jobs.load_actor_master(lake, _interval(a))),
     "load-repo-master": (WINDOW, lambda lake, a: jobs.load_repo_master(lake, _interval(a))),
     "compact-masters": ((), lambda lake, a: jobs.compact_masters(lake)),
+    "compact-actor-dimension": (
+        ("before",),
+        lambda lake, a: jobs.compact_actor_dimension(lake, a.before),
+    ),
     "transform-silver": (WINDOW, lambda lake, a: jobs.transform_silver_events(lake, _interval(a))),
     "repo-metrics-hourly": (WINDOW, lambda lake, a: jobs.update_repo_metrics_hourly(lake, _interval(a))),
     "repo-metrics-daily": (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -63,17 +64,34 @@ class Interval:
         """The stretch of ``hours`` hours that ends where this interval starts."""
         return Interval(self.start - hours * HOUR, self.start)
 
-    def hour_keys(self) -> list[int]:
-        """The keys of all hours the interval touches."""
-        first = floor_to(self.start, "hour")
-        hours = -(-(self.end - first) // HOUR) if self.end > self.start else 0
-        return [hour_key_of(first + n * HOUR) for n in range(hours)]
+    def hour_keys(self, every: int = 1) -> list[int]:
+        """The keys of all hours, or of all blocks of ``every`` hours, the interval touches."""
+        first = floor_to(self.start, "hour") - self.start.hour % every * HOUR
+        step = every * HOUR
+        blocks = -(-(self.end - first) // step) if self.end > self.start else 0
+        return [hour_key_of(first + n * step) for n in range(blocks)]
+
+    def covers(self, key: int, every: int) -> bool:
+        """Whether the block of ``every`` hours from the hour of ``key`` on lies inside."""
+        first = datetime.strptime(str(key), "%Y%m%d%H")
+        return self.start <= first and first + every * HOUR <= self.end
 
     def contains(self, column: Column | str) -> Column:
         col = F.col(column) if isinstance(column, str) else column
         return (col >= ntz_literal(self.start)) & (col < ntz_literal(self.end))
 
 
+def contiguous(intervals: Iterable[Interval], joined: bool = True) -> list[Interval]:
+    """The intervals in order, without repeats; overlapping and adjoining ones as one if ``joined``."""
+    out: list[Interval] = []
+    for one in sorted(set(intervals), key=lambda i: (i.start, i.end)):
+        if joined and out and one.start <= out[-1].end:
+            out[-1] = Interval(out[-1].start, max(out[-1].end, one.end))
+        else:
+            out.append(one)
+    return out
+
+
 def ntz_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -87,9 +105,13 @@ def hour_of(column: Column | str) -> Column:
     return F.date_trunc("hour", column).cast("timestamp_ntz")
 
 
-def hour_key(column: Column | str) -> Column:
-    """yyyyMMddHH as an integer: the partition value of hourly tables."""
-    return F.date_format(column, "yyyyMMddHH").cast("int")
+def hour_key(column: Column | str, every: int = 1) -> Column:
+    """yyyyMMddHH of the hour, or of the first hour of its block of ``every``, as an integer:
+    the partition value of hourly tables. ``every`` divides 24."""
+    if every == 1:
+        return F.date_format(column, "yyyyMMddHH").cast("int")
+    day, hour = F.date_format(column, "yyyyMMdd").cast("int"), F.hour(column)
+    return day * 100 + hour - hour % every
 
 
 def event_time(column: Column | str, dtype: str) -> Column:

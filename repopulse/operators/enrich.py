@@ -39,18 +39,22 @@ def fetch_nodes(
     partitions: int = REQUEST_PARTITIONS,
     request_size: int = REQUEST_SIZE,
     in_flight: int = REQUESTS_IN_FLIGHT,
+    beside: str | None = None,
 ) -> DataFrame:
     """One row per actor id: status (found, missing, failed), the node's JSON, the error.
 
     ``partitions`` tasks call the source at the same time, each with ``in_flight``
-    requests under way. The ids must be distinct already.
+    requests under way. The ids must be distinct already. ``beside`` names a column of
+    ``actors`` whose values the lookup gets as well, in the order of the ids: answers kept
+    from an earlier run, say.
     """
 
     # Kept inside, so it travels to the executors by value and needs no package there.
     def ask(batch: pd.DataFrame) -> pd.DataFrame:
         answer = pd.DataFrame({"actor_id": batch["actor_id"].to_numpy()})
         try:
-            nodes = list(lookup(batch["node_id"].tolist()))
+            extra = [] if beside is None else [batch[beside].tolist()]
+            nodes = list(lookup(batch["node_id"].tolist(), *extra))
             if len(nodes) != len(batch):
                 raise ValueError(f"asked for {len(batch)} users, got {len(nodes)}")
         except Exception as error:  # reported in the rows of this request; the job goes on
@@ -64,7 +68,8 @@ def fetch_nodes(
                 starts = range(0, len(frame), request_size)
                 yield from lanes.map(ask, [frame.iloc[at : at + request_size] for at in starts])
 
-    ids = actors.select("actor_id", user_node_id(F.col("actor_id").cast("string")).alias("node_id"))
+    node_id = user_node_id(F.col("actor_id").cast("string")).alias("node_id")
+    ids = actors.select("actor_id", node_id, *([] if beside is None else [beside]))
     return ids.repartition(partitions, "actor_id").mapInPandas(fetch, RESPONSE_SCHEMA)
 
 

@@ -13,7 +13,6 @@ from repopulse.operators.rank import (
     rank_trend_over_history,
     with_star_and_fork_ranks,
 )
-from repopulse.operators.skew import HOT_ROWS
 
 # The count each event type feeds.
 COUNTED_TYPES = {
@@ -89,9 +88,7 @@ def known_countries(versions: DataFrame) -> DataFrame:
     return versions.where(code.isNotNull() & (code != UNKNOWN_COUNTRY))
 
 
-def daily_country_contributions(
-    events: DataFrame, versions: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def daily_country_contributions(events: DataFrame, versions: DataFrame) -> DataFrame:
     """Five activity counts per repo, country of the actor at event time, and ingest day.
 
     Each day knows only the versions loaded before it ended, so a backfill of
@@ -113,7 +110,7 @@ def daily_country_contributions(
     )
     day_end = F.date_add("created_date", 1).cast("timestamp_ntz")
     return (
-        point_in_time_join(dated, known, hot_rows=hot_rows)
+        point_in_time_join(dated, known)
         .where(F.col("_version_loaded_at") < day_end)
         .groupBy("repo_id", "country_code", "created_date")
         .agg(*type_counts("_event_count"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT_COLUMNS = ("run_id", "check_name", "column_name", "n_rows", "n_bad", "passed")
@@ -62,14 +62,31 @@ def _range_miss(check: RowCount) -> Column:
     return (short + over).cast("bigint")
 
 
-def _one_pass_report(df: DataFrame, checks: Sequence[NotNull | RowCount]) -> DataFrame:
-    """All null and row-count checks from one aggregate."""
+def _totals(checks: Sequence[NotNull | RowCount]) -> list[Column]:
     nulls = [
         F.count_if(F.col(c.column).isNull()).alias(f"_null_{i}")
         for i, c in enumerate(checks)
         if isinstance(c, NotNull)
     ]
-    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
+    return [F.count(F.lit(1)).alias("n_rows"), *nulls]
+
+
+def _one_pass(checks: Sequence[Check]) -> list[NotNull | RowCount]:
+    return [c for c in checks if not isinstance(c, Unique)]
+
+
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation]:
+    """``df`` with the counts of all null and row-count checks taken while it is written.
+
+    Pass what the observation got to :func:`run_checks`, which then reads the rows for
+    the unique checks alone. Only the write itself may use ``df``.
+    """
+    seen = Observation()
+    return df.observe(seen, *_totals(_one_pass(checks))), seen
+
+
+def _one_pass_report(totals: DataFrame, checks: Sequence[NotNull | RowCount]) -> DataFrame:
+    """All null and row-count checks from one row of totals."""
     entries = [
         F.struct(
             F.lit(c.name).alias("check_name"),
@@ -96,10 +113,20 @@ def _unique_report(df: DataFrame, check: Unique) -> DataFrame:
     )
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], run_id: str) -> DataFrame:
-    """One row per check: rows seen, rows at fault, passed."""
-    single = [c for c in checks if not isinstance(c, Unique)]
-    parts = [_one_pass_report(df, single)] if single else []
+def run_checks(
+    df: DataFrame, checks: Sequence[Check], run_id: str, seen: Mapping[str, int] | None = None
+) -> DataFrame:
+    """One row per check: rows seen, rows at fault, passed.
+
+    ``seen`` is what an observation of the same checks counted while the rows were written.
+    """
+    single = _one_pass(checks)
+    if seen is None:
+        totals = df.agg(*_totals(single))
+    else:
+        counted = [F.lit(n).cast("bigint").alias(name) for name, n in seen.items()]
+        totals = df.sparkSession.range(1).select(*counted)
+    parts = [_one_pass_report(totals, single)] if single else []
     parts += [_unique_report(df, c) for c in checks if isinstance(c, Unique)]
     report = reduce(DataFrame.unionByName, parts)
     return report.select(

@@ -19,6 +19,7 @@ def distributed_ranks(
     tie: str,
     within: Sequence[str] = (),
     id_slice: int = ID_SLICE,
+    slice_of: Column | None = None,
 ) -> DataFrame:
     """``rank() over (partition by within order by score desc, tie asc)`` for each named score.
 
@@ -34,7 +35,8 @@ def distributed_ranks(
     All scores are ranked in one pass over a long form (one row per score), so
     both sides of the join read the same columns and Spark computes ``df`` once
     for the two. The way back to one row per ``tie`` leaves the rows
-    partitioned by ``tie`` for whatever follows.
+    partitioned by ``tie`` for whatever follows. ``slice_of`` replaces the division for
+    ids that are sparse or no numbers: see :func:`ranks_of_any_ids`.
     """
     within = list(within)
     scores = F.array(
@@ -44,7 +46,8 @@ def distributed_ranks(
         ]
     )
     # Declared non-null: a null check on one side only would cost the shared pass.
-    id_part = F.coalesce(F.expr(f"`{tie}` div {id_slice}"), F.lit(0)).alias("_slice")
+    id_part = F.expr(f"`{tie}` div {id_slice}") if slice_of is None else slice_of
+    id_part = F.coalesce(id_part, F.lit(0)).alias("_slice")
     scored = df.select(*df.columns, id_part, F.explode(scores).alias("_s")).select(
         *df.columns, "_slice", "_s._rank", "_s._score"
     )
@@ -75,6 +78,52 @@ def distributed_ranks(
     )
 
 
+def _position(tie: str, kind: str) -> Column:
+    """A number that never falls as the id grows; ids it does not tell apart share a slice."""
+    if kind == "string":
+        # The first seven bytes; a double holds 53 bits of them.
+        head = F.substring(F.hex(F.encode(tie, "UTF-8")), 1, 14)
+        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+    return F.col(tie).cast("double")
+
+
+def _slice_between(value: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """How many bounds lie below ``value``, by halving: as deep as their number has digits."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    above = _slice_between(value, bounds[middle + 1 :], first + middle + 1)
+    return F.when(value > bounds[middle], above).otherwise(
+        _slice_between(value, bounds[:middle], first)
+    )
+
+
+def ranks_of_any_ids(
+    df: DataFrame,
+    ranks: Mapping[str, str],
+    tie: str,
+    within: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """The same ranks where ids are hashed, negative, far apart or strings.
+
+    The ids are cut into ranges at their approximate quantiles, as many as there are
+    shuffle partitions, so a tie of any size is spread evenly whatever its ids look like,
+    and the running total has at most one row per score and range. The quantiles cost a
+    pass over ``df`` when this is called: store it before if it is dear. They only decide
+    where a slice ends; ranks are exact.
+    """
+    kind = df.schema[tie].dataType.simpleString()
+    if slices is None:
+        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    where = [n / slices for n in range(1, slices)] or [0.5]
+    position = _position(tie, kind)
+    row = df.agg(F.percentile_approx(position, where, 20 * slices).alias("bounds")).first()
+    return distributed_ranks(
+        df, ranks, tie, within, slice_of=_slice_between(position, sorted(set(row.bounds or [])))
+    )
+
+
 def with_star_and_fork_ranks(
     counts: DataFrame, within: Sequence[str] = ("ingested_at",), id_slice: int = ID_SLICE
 ) -> DataFrame:

@@ -13,18 +13,22 @@ def upsert_newest(target: DataFrame, source: DataFrame, key: str, version: str)
 
     A matched row is replaced only when its ``version`` is strictly older.
     Equal or null versions on either side keep the target row. New keys are
-    inserted.
+    inserted; null keys match nothing.
+
+    Both sides are stacked and the winner of a key is picked by an aggregate, which
+    combines in the tasks first: no join, and one shuffle for both sides.
     """
     columns = target.columns
-    source = source.select(*columns)
-    old = target.select(F.col(key), F.struct(*columns).alias("_old"))
-    new = source.select(F.col(key), F.struct(*columns).alias("_new"))
-    replace = F.col("_old").isNull() | F.coalesce(
-        F.col(f"_old.{version}") < F.col(f"_new.{version}"), F.lit(False)
+    stacked = target.withColumn("_kept", F.lit(1)).unionByName(
+        source.select(*columns, F.lit(0).alias("_kept"))
     )
+    # A target row without version stays whatever comes.
+    stays = ((F.col("_kept") == 1) & F.col(version).isNull()).cast("int")
+    strength = F.struct(stays, F.col(version), F.col("_kept"))
+    unmatched = F.when(F.col(key).isNull(), F.col("_kept"))
     return (
-        old.join(new, key, "full")
-        .select(F.when(replace, F.col("_new")).otherwise(F.col("_old")).alias("_row"))
+        stacked.groupBy(key, unmatched.alias("_side"))
+        .agg(F.max_by(F.struct(*columns), strength).alias("_row"))
         .select("_row.*")
     )
 

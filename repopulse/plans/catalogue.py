@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.functions.text import (
@@ -31,12 +31,13 @@ from repopulse.plans import jobs
 from repopulse.session import scratch_path
 from repopulse.sinks.keyed import (
     compact,
+    create_current_view,
     read_dimension,
     read_keyed,
     scd2_merge_table,
     upsert_table,
 )
-from repopulse.sinks.lake import HOUR_PARTITION, Lake
+from repopulse.sinks.lake import BLOCK_PARTITION, HOUR_PARTITION, Lake
 from repopulse.sinks.serving import SERVING_TABLES, staged_day, staged_window, upsert_served
 from repopulse.sources import archive, driver_tables as tables
 from repopulse.streaming.microbatch import recompute_interval, replace_window
@@ -47,6 +48,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FORTNIGHT = Interval.of("2024-01-08T00:20:00", "2024-01-22T00:20:00")
 STAGED_DAY = "2024-01-15"
 LATE_RUN = Interval.of("2024-01-15T11:20:00", "2024-01-15T12:20:00")
+THIRD_BATCH = datetime(2024, 1, 20)
 MASTER_BEFORE = ("PushEvent", "PullRequestEvent")
 LARGE_VOLUME_BATCHES = (datetime(1996, 1, 1), datetime(1998, 1, 1))
 
@@ -121,6 +123,17 @@ def q_ingest_to_silver(spark: SparkSession, sf: str) -> DataFrame:
     return events.typed_events(_ingested(spark, sf))
 
 
+def q_ingest_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw files through the file stream, then once more, when there is nothing new."""
+    lake = _lake(spark, "landed")
+    folder, progress = _raw_files(spark, sf), scratch_path(spark, "landed-progress")
+    names = (rf"{HOUR_PARTITION}=(\d{{10}})", "yyyyMMddHH")
+    for run in ("first", "second"):
+        jobs.ingest_landed(lake, folder, progress, run, files_at_once=2_000, names=names)
+    bronze = lake.read(jobs.BRONZE_EVENTS)
+    return bronze.select("id", "type", "payload_raw", "created_at", "ingested_at")
+
+
 def q_actor_meta(spark: SparkSession, sf: str) -> DataFrame:
     return events.actor_attributes(tables.bronze_events(spark, sf))
 
@@ -184,10 +197,10 @@ def q_upsert_repo_master(spark: SparkSession, sf: str) -> DataFrame:
     before, after = _master_sides(spark, sf)
     lake = _lake(spark, "repo-master")
     table = "master/repo"
-    upsert_table(lake, _latest_repo(before), table, 1)
+    upsert_table(lake, _latest_repo(before), table, 1, "repo_id")
     for _ in range(2):
-        upsert_table(lake, _latest_repo(after), table, 2)
-    compact(lake, table, "repo_id", "created_at")
+        upsert_table(lake, _latest_repo(after), table, 2, "repo_id")
+    compact(lake, table, "repo_id", "created_at", fan=2)
     return read_keyed(lake, table, "repo_id", "created_at")
 
 
@@ -251,33 +264,23 @@ def q_active_actors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_partition_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    prefix_length = len("04:User")
-
-    def lookup(node_ids: Sequence[str]) -> list[str | None]:
-        import base64
-        import json
-
-        users = [int(base64.b64decode(node_id)[prefix_length:]) for node_id in node_ids]
-        return [
-            json.dumps(
-                {
-                    "databaseId": user,
-                    "login": f"user{user}",
-                    "company": None,
-                    "followers": {"totalCount": user + 1},
-                    "createdAt": "2020-02-03T04:05:06Z",
-                }
-            )
-            if user
-            else None
-            for user in users
-        ]
-
-    answers = enrich.fetch_nodes(metrics.active_actors(tables.silver_events(spark, sf)), lookup)
-    return enrich.flatten_nodes(answers)
+    """Answers made from customers travel beside the ids; the lookup hands them on in batches."""
+    actors = metrics.active_actors(tables.silver_events(spark, sf))
+    answers = tables.read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("actor_id"), _customer_node().alias("answer")
+    )
+    asked = actors.join(answers, "actor_id", "left")
 
+    def lookup(node_ids: Sequence[str], answer: Sequence[str | None]) -> Sequence[str | None]:
+        return list(answer)
 
-def q_api_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    return enrich.flatten_nodes(enrich.fetch_nodes(asked, lookup, beside="answer")).select(
+        "user_id", "login", "company", "followers_count", "following_count", "user_created_at"
+    )
+
+
+def _customer_node() -> Column:
+    """A customer as the source's JSON object; those of one segment are not to be found."""
     node = F.to_json(
         F.struct(
             F.col("c_custkey").alias("databaseId"),
@@ -288,9 +291,11 @@ def q_api_flatten(spark: SparkSession, sf: str) -> DataFrame:
             F.when(F.col("c_acctbal") >= 5000, "2021-03-04T05:06:07Z").alias("createdAt"),
         )
     )
-    responses = tables.read(spark, sf, "customer").select(
-        F.when(F.col("c_mktsegment") != "MACHINERY", node).alias("node")
-    )
+    return F.when(F.col("c_mktsegment") != "MACHINERY", node)
+
+
+def q_api_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    responses = tables.read(spark, sf, "customer").select(_customer_node().alias("node"))
     return enrich.flatten_nodes(responses).select(
         "user_id", "login", "company", "followers_count", "following_count", "user_created_at"
     )
@@ -343,13 +348,34 @@ def q_scd2_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scd2_merge_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Through the tables: two batches, then both again, which changes nothing."""
+    """Through the table: the second batch before the first, then the second again."""
     lake = _lake(spark, "actor-dimension")
-    table = jobs.ACTOR_DETAIL
-    for number, batch_time in enumerate((tables.FIRST_BATCH, tables.SECOND_BATCH) * 2):
-        batch = _batch(spark, sf, batch_time)
-        scd2_merge_table(lake, batch, table, "user_id", number % 2)
-    return _shown(read_dimension(lake, table))
+    for batch_time in (tables.SECOND_BATCH, tables.FIRST_BATCH, tables.SECOND_BATCH):
+        number = int(batch_time == tables.SECOND_BATCH)
+        scd2_merge_table(lake, _batch(spark, sf, batch_time), jobs.ACTOR_DETAIL, number)
+    return _shown(read_dimension(lake, jobs.ACTOR_DETAIL))
+
+
+def q_scd2_late_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches, of which the middle one comes last: customers move and move back."""
+    lake = _lake(spark, "late-batch")
+    back = _batch(spark, sf, tables.FIRST_BATCH, THIRD_BATCH)
+    first = _batch(spark, sf, tables.FIRST_BATCH)
+    late = _batch(spark, sf, tables.SECOND_BATCH)
+    for number, batch in ((1, first), (3, back), (2, late)):
+        scd2_merge_table(lake, batch, jobs.ACTOR_DETAIL, number)
+    return _shown(read_dimension(lake, jobs.ACTOR_DETAIL))
+
+
+def q_current_actor_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog's view of current actors, created before the batch that changes them."""
+    lake = _lake(spark, "current-view")
+    name = "current_customers"
+    for number, batch_time in enumerate((tables.FIRST_BATCH, tables.SECOND_BATCH)):
+        scd2_merge_table(lake, _batch(spark, sf, batch_time), jobs.ACTOR_DETAIL, number)
+        if not number:
+            create_current_view(lake, jobs.ACTOR_DETAIL, name)
+    return spark.table(name).select("user_id", "company", "country", "hash_diff", "valid_from")
 
 
 def q_pit_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,7 +396,9 @@ def q_pit_join_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
     versions = dimension.select("user_id", "company", "valid_from", "valid_to")
     orders = tables.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = point_in_time_join(orders, versions, event_key="o_custkey", at="o_orderdate")
+    joined = point_in_time_join(
+        orders, versions, event_key="o_custkey", at="o_orderdate", stretch="year"
+    )
     return joined.groupBy("company", "valid_from").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -421,6 +449,15 @@ def q_rank_parts(spark: SparkSession, sf: str) -> DataFrame:
     return rank.distributed_ranks(lines, {"part_rank": "n_lines"}, "l_partkey")
 
 
+def q_rank_hashed_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The global rank with ids that are strings all over the place: hashes of part keys."""
+    lines = tables.read(spark, sf, "lineitem").groupBy(
+        F.md5(F.col("l_partkey").cast("string")).alias("part_hash")
+    )
+    lines = lines.agg(F.count(F.lit(1)).alias("n_lines"))
+    return rank.ranks_of_any_ids(lines, {"part_rank": "n_lines"}, "part_hash")
+
+
 def q_repo_rank_first_load(spark: SparkSession, sf: str) -> DataFrame:
     ranked = _ranked(spark, sf)
     return rank.rank_trend(ranked, ranked.where(F.lit(False)))
@@ -459,13 +496,9 @@ def q_repo_metrics_daily_top500(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.top_repos(q_repo_metrics_daily(spark, sf))
 
 
-def _silver_lake(spark: SparkSession, silver: DataFrame, name: str) -> Lake:
+def _silver_lake(spark: SparkSession, silver: DataFrame, name: str, hours: Interval) -> Lake:
     lake = _lake(spark, name)
-    lake.overwrite_partitions(
-        silver.withColumn(HOUR_PARTITION, hour_key("ingested_at")),
-        jobs.SILVER_EVENTS,
-        ["event_type", HOUR_PARTITION],
-    )
+    jobs.write_silver(lake, silver, hours)
     return lake
 
 
@@ -476,8 +509,9 @@ def _all_hours(silver: DataFrame) -> Interval:
 
 def q_repo_metrics_daily_job(spark: SparkSession, sf: str) -> DataFrame:
     """The daily job over all days, in two runs that late events cross between."""
-    lake = _silver_lake(spark, tables.silver_events(spark, sf), "daily-job")
-    days = _all_hours(lake.read(jobs.SILVER_EVENTS))
+    silver = tables.silver_events(spark, sf)
+    days = _all_hours(silver)
+    lake = _silver_lake(spark, silver, "daily-job", days)
     middle = FORTNIGHT.aligned("day").start
     for run in (Interval(days.start, middle), Interval(middle, days.end + DAY)):
         jobs.update_repo_metrics_daily(lake, run, top=None)
@@ -487,12 +521,12 @@ def q_repo_metrics_daily_job(spark: SparkSession, sf: str) -> DataFrame:
 def q_repo_metrics_hourly_late(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly gold computed without late events, then again for the hours after they came."""
     silver = tables.silver_events(spark, sf)
-    lake = _silver_lake(spark, _on_time(silver), "hourly-late")
     whole = _all_hours(silver)
+    lake = _silver_lake(spark, _on_time(silver), "hourly-late", whole)
     jobs.update_repo_metrics_hourly(lake, whole)
-    replace_window(lake, silver, jobs.SILVER_EVENTS, whole, outer=["event_type"])
+    jobs.write_silver(lake, silver, whole)
     jobs.update_repo_metrics_hourly(lake, whole)
-    return lake.read(jobs.REPO_HOURLY).drop(HOUR_PARTITION, "repo_name")
+    return lake.read(jobs.REPO_HOURLY).drop(BLOCK_PARTITION, "repo_name")
 
 
 # -- serving -----------------------------------------------------------------------------

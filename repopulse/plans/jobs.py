@@ -6,16 +6,18 @@ Every job may run again for the same window with the same result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from datetime import date, datetime, time
+from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repopulse.functions.timeframes import (
-    DAY,
     HOUR,
     Interval,
+    contiguous,
     floor_to,
+    hour_key,
     hour_key_of,
     ntz_literal,
     parse_utc,
@@ -45,17 +47,20 @@ from repopulse.operators.quality import (
     Check,
     QualityError,
     failed_checks,
+    observed,
     run_checks,
 )
 from repopulse.operators.rank import rank_trend, with_star_and_fork_ranks
 from repopulse.sinks.keyed import (
     compact,
+    compact_dimension,
+    create_current_view,
     read_dimension,
     read_keyed,
     scd2_merge_table,
     upsert_table,
 )
-from repopulse.sinks.lake import HOUR_PARTITION, Lake
+from repopulse.sinks.lake import BLOCK_HOURS, BLOCK_PARTITION, Lake
 from repopulse.sinks.serving import (
     JdbcTarget,
     merge_statements,
@@ -66,14 +71,18 @@ from repopulse.sinks.serving import (
     upsert_served,
 )
 from repopulse.sources.archive import (
+    ARCHIVE_NAME,
+    FILE_PATH,
     archive_path,
     as_bronze,
+    hour_in_path,
     hours_of_interval,
     malformed,
     missing_hours,
     read_raw_events,
     well_formed,
 )
+from repopulse.streaming.landing import landed_files
 from repopulse.streaming.microbatch import (
     LATE_HOURS,
     previous_hour,
@@ -83,15 +92,18 @@ from repopulse.streaming.microbatch import (
 
 BRONZE_EVENTS = "bronze/events"
 MALFORMED = "bronze/malformed_lines"
+ARRIVALS = "bronze/arrivals"
 ACTOR_META = "bronze/actor_meta"
 REPO_META = "bronze/repo_meta"
 ACTOR_DETAIL_RAW = "bronze/actor_detail_raw"
 ACTOR_FETCH_LOG = "bronze/actor_fetch_log"
 SILVER_EVENTS = "silver/events"
+EVENT_DATES = "silver/event_dates"
 ACTOR_MASTER = "silver/actor_master"
 REPO_MASTER = "silver/repo_master"
-ACTOR_DETAIL_BATCH = "silver/actor_detail_batch"
 ACTOR_DETAIL = "silver/actor_detail_scd"
+# The view of current actors in the session's catalog.
+CURRENT_ACTORS = "current_actor_detail"
 MASTER_KEYS = {ACTOR_MASTER: "actor_id", REPO_MASTER: "repo_id"}
 REPO_HOURLY = "gold/repo_metrics_hourly"
 REPO_DAILY = "gold/repo_metrics_daily"
@@ -114,13 +126,22 @@ def ingest_hour(lake: Lake, source_path: str | list[str], interval_start: str) -
 
     An archive file is read by one task and becomes one file of its hour: the
     payloads are never shuffled. Lines that are no JSON object go to a side table.
+    The hour is noted as arrived until silver and gold have taken it up.
     """
     stamp = ntz_literal(parse_utc(interval_start))
-    raw = read_raw_events(lake.spark, source_path)
-    bronze, seen = _counted(as_bronze(well_formed(raw), stamp))
-    lake.overwrite_hours(bronze, BRONZE_EVENTS, balance=False)
-    lake.overwrite_hours(malformed(raw).withColumn("ingested_at", stamp), MALFORMED, balance=False)
-    return seen.get["rows"]
+    return _ingest(lake, read_raw_events(lake.spark, source_path), stamp, [stamp])["n_rows"]
+
+
+def _ingest(lake: Lake, raw: DataFrame, stamp: Column, hours: list[Column]) -> dict[str, int]:
+    """Raw lines into bronze under the hours ``stamp`` gives; what the checks count, taken
+    while writing."""
+    bronze, seen = observed(as_bronze(well_formed(raw), stamp), EVENT_CHECKS)
+    lake.overwrite_hours(bronze.drop(FILE_PATH), BRONZE_EVENTS, balance=False)
+    bad_lines = malformed(raw.withColumn("ingested_at", stamp)).select("id", "line", "ingested_at")
+    lake.overwrite_hours(bad_lines, MALFORMED, balance=False)
+    arrived = lake.spark.range(1).select(F.explode(F.array(*hours)).alias("ingested_at"))
+    lake.replace_partition(arrived, ARRIVALS, f"arrival={uuid4().hex}")
+    return seen.get
 
 
 def check_events(
@@ -129,12 +150,16 @@ def check_events(
     run_id: str,
     checks: Iterable[Check] = EVENT_CHECKS,
     mode: str = "fail",
+    seen: dict[str, int] | None = None,
 ) -> list[str]:
-    """Run the checks on a bronze window and keep the report; ``fail`` mode raises on a failure."""
+    """Run the checks on a bronze window and keep the report; ``fail`` mode raises on a failure.
+
+    ``seen`` holds what was counted while the window was written.
+    """
     if mode not in ("fail", "warn"):
         raise ValueError(f"mode must be fail or warn, not {mode!r}")
     window = lake.read_window(BRONZE_EVENTS, interval.aligned("hour"))
-    report = run_checks(window, tuple(checks), run_id).withColumn("run", F.lit(run_id))
+    report = run_checks(window, tuple(checks), run_id, seen).withColumn("run", F.lit(run_id))
     # One partition per run: running it again replaces its report.
     lake.overwrite_partitions(report, QUALITY_RESULTS, ["run"])
     failures = failed_checks(lake.read_partition(QUALITY_RESULTS, f"run={run_id}"))
@@ -143,16 +168,58 @@ def check_events(
     return failures
 
 
-def ingest_hour_gated(
-    lake: Lake, source_path: str | list[str], interval_start: str, run_id: str
-) -> int:
-    """Write-audit-publish: the hour lands in a side folder and is moved in if all checks pass."""
+def _gated(lake: Lake, raw: DataFrame, stamp: Column, hours: list[datetime], run_id: str) -> int:
+    """Write, audit, publish: the hours land in a side folder and are moved in if all checks pass.
+
+    Nulls and rows are counted by the write; the audit reads the ids alone.
+    """
     staged = lake.staging(f"ingest-{run_id}")
     staged.discard()
-    rows = ingest_hour(staged, source_path, interval_start)
-    check_events(staged, Interval.hour(interval_start), run_id)
-    lake.publish(staged, [BRONZE_EVENTS, MALFORMED, QUALITY_RESULTS])
+    seen = _ingest(staged, raw, stamp, [ntz_literal(hour) for hour in hours])
+    whole = Interval(min(hours), max(hours) + HOUR)
+    check_events(staged, whole, run_id, seen=seen)
+    lake.publish(staged, [BRONZE_EVENTS, MALFORMED, QUALITY_RESULTS, ARRIVALS])
     staged.discard()
+    return seen["n_rows"]
+
+
+def ingest_hour_gated(
+    lake: Lake, source_path: str | list[str], interval_start: str, run_id: str
+) -> int:
+    """One raw hour, published if all checks pass; returns the row count."""
+    hour = parse_utc(interval_start)
+    raw = read_raw_events(lake.spark, source_path)
+    return _gated(lake, raw, ntz_literal(hour), [hour], run_id)
+
+
+def ingest_landed(
+    lake: Lake,
+    folder: str,
+    progress: str,
+    run_id: str,
+    files_at_once: int = 168,
+    names: tuple[str, str] = ARCHIVE_NAME,
+) -> int:
+    """Every archive file of a folder that was not ingested yet, through the gate, once.
+
+    A file stream lists the folder and keeps in ``progress`` which files are done;
+    each batch is one gated ingest of its hours. A batch that broke off is repeated with the
+    same files, and replaces its hours. Returns the row count.
+    """
+    rows = 0
+
+    def take(batch: DataFrame, number: int) -> None:
+        nonlocal rows
+        files = batch.select("path", hour_in_path("path", names).alias("hour")).collect()
+        if unnamed := [file.path for file in files if file.hour is None]:
+            raise ValueError(f"no hour in the name of {unnamed[:3]}")
+        if files:
+            raw = read_raw_events(lake.spark, [file.path for file in files], with_path=True)
+            stamp = hour_in_path(FILE_PATH, names)
+            hours = sorted({file.hour for file in files})
+            rows += _gated(lake, raw, stamp, hours, f"{run_id}-{number}")
+
+    landed_files(lake.spark, folder, progress, files_at_once, take)
     return rows
 
 
@@ -197,7 +264,7 @@ def _load_master(lake: Lake, interval: Interval, meta: str, master: str) -> None
     key = MASTER_KEYS[master]
     hours = interval.aligned("hour")
     latest = latest_per_key(lake.read_window(meta, hours), key, ["created_at", "ingested_at"])
-    upsert_table(lake, latest, master, hour_key_of(hours.start))
+    upsert_table(lake, latest, master, hour_key_of(hours.start), key)
 
 
 def load_actor_master(lake: Lake, interval: Interval) -> None:
@@ -216,22 +283,41 @@ def transform_silver_events(
 ) -> None:
     """Typed events of the window and the late hours before it.
 
-    All types share one table partitioned by type and hour, so bronze is read
-    once for all of them; each typed table is a slice of it.
+    All types share one table, so bronze is read once for all of them; each typed
+    table is a slice of it.
     """
     window = recompute_interval(interval, late_hours)
-    events = typed_events(lake.read_window(BRONZE_EVENTS, window), event_types)
-    replace_window(lake, events, SILVER_EVENTS, window, outer=["event_type"])
+    write_silver(lake, typed_events(lake.read_window(BRONZE_EVENTS, window), event_types), window)
+
+
+def write_silver(lake: Lake, events: DataFrame, window: Interval) -> None:
+    """Make the window's hours of silver hold ``events``, and note the days they were created on.
+
+    The note, a row per folder and creation date, is what finds all events of a date
+    later, however late some of them came.
+    """
+    replace_window(lake, events, SILVER_EVENTS, window, ["event_type"])
+    keys = window.hour_keys(BLOCK_HOURS)
+    dates = (
+        lake.read_keys(SILVER_EVENTS, keys)
+        .groupBy(
+            F.to_date("created_at").alias("created_date"),
+            hour_key("ingested_at", BLOCK_HOURS).alias(BLOCK_PARTITION),
+        )
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    )
+    lake.drop_partitions(EVENT_DATES, [f"{BLOCK_PARTITION}={key}" for key in keys])
+    lake.overwrite_partitions(dates, EVENT_DATES, [BLOCK_PARTITION])
 
 
 def events_of_type(lake: Lake, event_type: str) -> DataFrame:
-    """One typed event table: a partition of the shared one."""
-    return lake.read(SILVER_EVENTS).where(F.col("event_type") == event_type).drop(HOUR_PARTITION)
+    """One typed event table: a slice of the shared one."""
+    return lake.read(SILVER_EVENTS).where(F.col("event_type") == event_type).drop(BLOCK_PARTITION)
 
 
 def register_event_views(lake: Lake) -> None:
     """``unified_events`` and the five typed tables as temporary views."""
-    lake.read(SILVER_EVENTS).drop(HOUR_PARTITION).createOrReplaceTempView("unified_events")
+    lake.read(SILVER_EVENTS).drop(BLOCK_PARTITION).createOrReplaceTempView("unified_events")
     for event_type, table in EVENT_TABLES.items():
         events_of_type(lake, event_type).createOrReplaceTempView(table.split("/")[-1])
 
@@ -279,14 +365,14 @@ def fetch_actor_details(
 
 
 def merge_actor_dimension(lake: Lake, target: str, places: DataFrame, codes: DataFrame) -> None:
-    """Details loaded in the target hour into the actor dimension, valid from the target time."""
+    """Details loaded in the target hour into the actor dimension, valid from the target time.
+
+    Hours may come in any order and more than once.
+    """
     raw = lake.read_window(ACTOR_DETAIL_RAW, Interval.hour(target))
     batch = prepare_actor_details(raw, places, codes, parse_utc(target))
-    # The batch feeds several reads: keep it as a table, each hour its own.
-    lake.overwrite_hours(batch, ACTOR_DETAIL_BATCH)
-    kept = lake.read_window(ACTOR_DETAIL_BATCH, Interval.hour(target))
-    batch = hour_key_of(Interval.hour(target).start)
-    scd2_merge_table(lake, kept, ACTOR_DETAIL, "user_id", batch)
+    scd2_merge_table(lake, batch, ACTOR_DETAIL, hour_key_of(Interval.hour(target).start))
+    create_current_view(lake, ACTOR_DETAIL, CURRENT_ACTORS)
 
 
 def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:
@@ -296,6 +382,12 @@ def register_actor_view(lake: Lake, name: str = "actor_detail") -> DataFrame:
     return current
 
 
+def compact_actor_dimension(lake: Lake, before: str) -> None:
+    """Fold the hours before ``before`` to their versions; hours older than that are not
+    merged in full any more. Run by schedule."""
+    compact_dimension(lake, ACTOR_DETAIL, "user_id", hour_key_of(Interval.hour(before).start))
+
+
 # -- gold ------------------------------------------------------------------------
 
 
@@ -326,19 +418,19 @@ def update_repo_metrics_daily(
 
     The dates are those of the events ingested in the interval, so a late event
     brings its earlier date up again. Each date is counted over all its events,
-    whenever they were ingested; ``top=None`` keeps every repo. Returns the dates.
+    whenever they were ingested; of silver only the folders that hold such events are
+    read. ``top=None`` keeps every repo. Returns the dates.
     """
     days = interval.aligned("day")
-    created = F.to_date("created_at")
-    arrived = lake.read_window(SILVER_EVENTS, days).select(created.alias("d")).distinct()
+    noted = lake.read(EVENT_DATES).where(F.col("created_date").isNotNull())
+    arrived = noted.where(F.col(BLOCK_PARTITION).isin(days.hour_keys(BLOCK_HOURS)))
     # One row per day that the interval's events were created on.
-    dates = sorted(row.d for row in arrived.collect() if row.d is not None)
+    dates = sorted(row.created_date for row in arrived.select("created_date").distinct().collect())
     if not dates:
         return []
-    # Clocks differ: an event may be ingested a little before it was created.
-    first = datetime.combine(dates[0], time()) - DAY
-    since = F.col(HOUR_PARTITION) >= hour_key_of(first)
-    events = lake.read(SILVER_EVENTS).where(since & created.isin(dates))
+    folders = noted.where(F.col("created_date").isin(dates)).select(BLOCK_PARTITION).distinct()
+    events = lake.read_keys(SILVER_EVENTS, [row[0] for row in folders.collect()])
+    events = events.where(F.to_date("created_at").isin(dates))
     daily = metrics.daily_repo_metrics(events)
     result = daily if top is None else metrics.top_repos_each_day(daily, top)
     lake.overwrite_partitions(result, REPO_DAILY, ["created_date"])
@@ -395,20 +487,52 @@ def serve_daily(lake: Lake, *days: str | date) -> None:
 # -- chains ------------------------------------------------------------------------
 
 
-def run_hour(lake: Lake, source_path: str | list[str], hour: str, run_id: str) -> int:
+def arrivals(lake: Lake) -> dict[str, list[datetime]]:
+    """Hours that bronze took in and silver and gold have yet to follow, by arrival."""
+    opened: dict[str, list[datetime]] = {}
+    for row in lake.read(ARRIVALS).orderBy("ingested_at").collect():
+        opened.setdefault(row.arrival, []).append(row.ingested_at)
+    return opened
+
+
+def take_up(lake: Lake, interval: Interval, late_hours: int = LATE_HOURS) -> list[Interval]:
+    """Bring silver, hourly gold and serving up to date; returns the stretches recomputed.
+
+    These are the interval with the late hours before it and every hour that arrived since
+    the last run, however old it is. The hour after a stretch goes with it, for its trend. An
+    arrival counts as open until all is done, so a run that breaks off is made up for.
+    """
+    opened = arrivals(lake)
+    window = recompute_interval(interval, late_hours)
+    hours = [Interval.hour(at) for arrived in opened.values() for at in arrived]
+    for hour in contiguous(hours, joined=False):
+        for step in (extract_actor_meta, extract_repo_meta, load_actor_master, load_repo_master):
+            step(lake, hour)
+    done = []
+    for stretch in contiguous([window, *hours]):
+        transform_silver_events(lake, stretch, late_hours=0)
+        followed = Interval(stretch.start, stretch.end + HOUR)
+        update_repo_metrics_hourly(lake, followed)
+        serve_hourly(lake, followed)
+        done.append(followed)
+    lake.drop_partitions(ARRIVALS, [f"arrival={arrival}" for arrival in opened])
+    return done
+
+
+def run_hour(
+    lake: Lake,
+    source_path: str | list[str],
+    hour: str,
+    run_id: str,
+    late_hours: int = LATE_HOURS,
+) -> int:
     """Raw file to served hourly gold, in one application.
 
-    Silver and gold are computed for the late hours before this one as well.
+    Silver and gold are computed for the late hours before this one as well, and for
+    every other hour that arrived since the last run.
     """
-    interval = Interval.hour(hour)
     rows = ingest_hour_gated(lake, source_path, hour, run_id)
-    extract_actor_meta(lake, interval)
-    extract_repo_meta(lake, interval)
-    load_actor_master(lake, interval)
-    load_repo_master(lake, interval)
-    transform_silver_events(lake, interval)
-    update_repo_metrics_hourly(lake, recompute_interval(interval))
-    serve_hourly(lake, recompute_interval(interval))
+    take_up(lake, Interval.hour(hour), late_hours)
     return rows
 
 

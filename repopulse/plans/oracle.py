@@ -277,6 +277,11 @@ SELECT hour, 'raw/archive/' || strftime(hour, '%Y-%m-%d-%H') || '.json.gz' AS ar
 FROM spine
 WHERE hour NOT IN (SELECT date_trunc('hour', ingested_at) FROM bronze
   WHERE type = 'WatchEvent' AND NOT ({ON_TIME}))""",
+    "q_ingest_landed": f"""{_with(BRONZE)}
+SELECT id, type,
+  '{{' || coalesce('"action":"' || action || '",', '') || '"k":' || repo_id || '}}' AS payload_raw,
+  strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at, ingested_at
+FROM bronze""",
     "q_ingest_bronze": f"""{_with(BRONZE)}
 SELECT id, type, actor_id, actor_login, repo_id, repo_name,
   '{{' || coalesce('"action":"' || action || '",', '') || '"k":' || repo_id || '}}' AS payload_raw,
@@ -329,11 +334,11 @@ SELECT c_custkey AS user_id, base64(CAST('04:User' || c_custkey AS BLOB)) AS nod
 FROM customer""",
     "q_active_actors": f"{_with(BRONZE, SILVER)} SELECT DISTINCT actor_id FROM silver",
     "q_partition_enrich": f"""{_with(BRONZE, SILVER)}
-SELECT DISTINCT actor_id AS user_id, 'user' || actor_id AS login, CAST(NULL AS VARCHAR) AS name,
-  CAST(NULL AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS location,
-  actor_id + 1 AS followers_count, CAST(0 AS BIGINT) AS following_count,
-  TIMESTAMP '2020-02-03 04:05:06' AS user_created_at, CAST(NULL AS TIMESTAMP) AS user_updated_at
-FROM silver WHERE actor_id <> 0""",
+SELECT c_custkey AS user_id, c_name AS login, CAST(NULL AS VARCHAR) AS company,
+  CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey ELSE 0 END AS BIGINT) AS followers_count,
+  CAST(0 AS BIGINT) AS following_count,
+  CASE WHEN c_acctbal >= 5000 THEN TIMESTAMP '2021-03-04 05:06:07' END AS user_created_at
+FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_custkey IN (SELECT actor_id FROM silver)""",
     "q_api_flatten": """
 SELECT c_custkey AS user_id, c_name AS login, CAST(NULL AS VARCHAR) AS company,
   CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey ELSE 0 END AS BIGINT) AS followers_count,
@@ -347,6 +352,21 @@ FROM batch2 n LEFT JOIN batch1 o ON o.user_id = n.user_id
 WHERE o.user_id IS NULL OR n.hash_diff <> o.hash_diff""",
     "q_scd2_apply": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension",
     "q_scd2_current": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension WHERE is_current",
+    "q_scd2_late_batch": f"""{_with(_batches(), _prepared("batch3", "raw1", "TIMESTAMP '2024-01-20 00:00:00'"))},
+seen AS (
+  SELECT *, lag(hash_diff) OVER (PARTITION BY user_id ORDER BY valid_from) AS before,
+    row_number() OVER (PARTITION BY user_id ORDER BY valid_from) AS nth
+  FROM (SELECT * FROM batch1 UNION ALL BY NAME SELECT * FROM batch2
+        UNION ALL BY NAME SELECT * FROM batch3)),
+kept AS (SELECT * EXCLUDE (before, nth) FROM seen WHERE nth = 1 OR before <> hash_diff),
+dimension AS (
+  SELECT * REPLACE (
+    coalesce(lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from), {OPEN_END}) AS valid_to,
+    lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from) IS NULL AS is_current)
+  FROM kept)
+SELECT {SHOWN} FROM dimension""",
+    "q_current_actor_view": f"""{_with(_batches(), DIMENSION)}
+SELECT user_id, company, country, hash_diff, valid_from FROM dimension WHERE is_current""",
     "q_scd2_merge_table": f"{_with(_batches(), DIMENSION)} SELECT {SHOWN} FROM dimension",
     "q_pit_join": f"""{_with(BRONZE, SILVER, _batches(), DIMENSION)}
 SELECT event_id, actor_id, created_at, company, country, valid_from
@@ -371,6 +391,10 @@ totals AS (SELECT repo_id, {_counts('_count', ('star', 'fork'))} FROM silver GRO
 SELECT repo_id, fork_count,
   CAST(rank() OVER (ORDER BY fork_count DESC, repo_id) AS INTEGER) AS fork_rank
 FROM totals""",
+    "q_rank_hashed_ids": """
+SELECT md5(CAST(l_partkey AS VARCHAR)) AS part_hash, count(*) AS n_lines,
+  CAST(rank() OVER (ORDER BY count(*) DESC, md5(CAST(l_partkey AS VARCHAR))) AS INTEGER) AS part_rank
+FROM lineitem GROUP BY l_partkey""",
     "q_rank_parts": """
 WITH lines AS (SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY ALL)
 SELECT *, CAST(rank() OVER (ORDER BY n_lines DESC, l_partkey) AS INTEGER) AS part_rank

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +12,10 @@ from repopulse.functions.timeframes import Interval, hour_key
 from repopulse.sinks.schemas import TABLE_SCHEMAS
 
 HOUR_PARTITION = "ingested_hour"
+# Tables that are recomputed window by window hold several hours a folder, sorted by time
+# inside: a month is 124 folders, and a run of one hour rewrites six hours at most.
+BLOCK_PARTITION = "ingested_block"
+BLOCK_HOURS = 6
 
 
 @dataclass(frozen=True)
@@ -42,19 +46,21 @@ class Lake:
         """Whether any rows were ever written."""
         return bool(self._children(self.path(table)))
 
-    def _hour_folders(self, table: str, interval: Interval) -> list[str]:
-        """The window's hour partitions that exist; no other hour is looked at.
+    def layout(self, table: str) -> tuple[str, int]:
+        """The partition column of an hourly table and the hours that one folder holds."""
+        return self._layout(self._children(self.path(table)))
 
-        Hours lie on the first level, or below one other partition column.
-        """
-        path = self.path(table)
-        prefix = f"{HOUR_PARTITION}="
-        first = self._children(path)
-        outer = [path] if any(n.startswith(prefix) for n in first) else [f"{path}/{n}" for n in first]
-        filesystem, _ = self._hadoop(path)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        wanted = [f"{folder}/{prefix}{key}" for folder in outer for key in interval.hour_keys()]
-        return [folder for folder in wanted if filesystem.exists(hadoop(folder))]
+    @staticmethod
+    def _layout(names: Sequence[str]) -> tuple[str, int]:
+        hourly = any(name.startswith(f"{HOUR_PARTITION}=") for name in names)
+        return (HOUR_PARTITION, 1) if hourly else (BLOCK_PARTITION, BLOCK_HOURS)
+
+    def _window_folders(self, table: str, interval: Interval) -> dict[int, str]:
+        """The window's folders that exist, by key: one listing, however many hours there are."""
+        names = set(self._children(self.path(table)))
+        column, hours = self._layout(names)
+        wanted = {key: f"{column}={key}" for key in interval.hour_keys(hours)}
+        return {key: f"{self.path(table)}/{name}" for key, name in wanted.items() if name in names}
 
     # -- reads -----------------------------------------------------------------
 
@@ -79,14 +85,25 @@ class Lake:
         return self._reader(table).option("basePath", path).parquet(f"{path}/{partition}")
 
     def read_window(self, table: str, interval: Interval, column: str = "ingested_at") -> DataFrame:
-        """Rows of ``[start, end)``; hour partitions outside it are neither listed nor opened."""
-        folders = self._hour_folders(table, interval)
+        """Rows of ``[start, end)``; folders outside it are neither listed nor opened."""
+        rows = self.read_folders(table, self._window_folders(table, interval).values())
+        return rows.where(interval.contains(column))
+
+    def read_folders(self, table: str, folders: Iterable[str]) -> DataFrame:
+        """The rows of some folders of an hourly table, without its partition column."""
+        folders = list(folders)
         if folders:
-            reader = self._reader(table).option("basePath", self.path(table))
-            hours = reader.parquet(*folders)
+            rows = self._reader(table).option("basePath", self.path(table)).parquet(*folders)
         else:
-            hours = self.read(table).where(F.lit(False))
-        return hours.where(interval.contains(column)).drop(HOUR_PARTITION)
+            rows = self.read(table).where(F.lit(False))
+        return rows.drop(HOUR_PARTITION, BLOCK_PARTITION)
+
+    def read_keys(self, table: str, keys: Iterable[int]) -> DataFrame:
+        """The rows of the folders with these keys, as far as they exist."""
+        names = set(self._children(self.path(table)))
+        column, _ = self._layout(names)
+        wanted = [f"{column}={key}" for key in sorted(set(keys))]
+        return self.read_folders(table, [f"{self.path(table)}/{n}" for n in wanted if n in names])
 
     def register_view(self, table: str, name: str, condition: str | None = None) -> DataFrame:
         df = self.read(table)
@@ -134,43 +151,62 @@ class Lake:
         self.overwrite_partitions(keyed, table, [HOUR_PARTITION], sort, balance)
 
     def replace_hours(
-        self,
-        df: DataFrame,
-        table: str,
-        interval: Interval,
-        outer: Sequence[str] = (),
-        sort: Sequence[str | Column] = (),
+        self, df: DataFrame, table: str, interval: Interval, sort: Sequence[str | Column] = ()
     ) -> None:
-        """Make the interval's hours hold exactly ``df``: an hour without rows is emptied."""
-        before = {f: set(self._children(f)) for f in self._hour_folders(table, interval)}
-        keyed = df.where(interval.contains("ingested_at")).withColumn(
-            HOUR_PARTITION, hour_key("ingested_at")
-        )
-        self.overwrite_partitions(keyed, table, [*outer, HOUR_PARTITION], sort)
-        filesystem, _ = self._hadoop(self.path(table))
-        for folder, names in before.items():
-            # File names are unique per write, so an hour with the same ones got no rows.
-            if set(self._children(folder)) == names:
-                filesystem.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+        """Make the interval's hours hold exactly ``df``: an hour without rows is emptied.
+
+        A folder that the interval covers in part keeps its other hours. Folders are written
+        aside and moved in, so ``df`` may read the table.
+        """
+        touched = self._window_folders(table, interval)
+        column, hours = self.layout(table)
+        rows = df.where(interval.contains("ingested_at"))
+        partly = [path for key, path in touched.items() if not interval.covers(key, hours)]
+        if partly:
+            others = self.read_folders(table, partly).where(~interval.contains("ingested_at"))
+            rows = rows.unionByName(others, allowMissingColumns=True)
+        keyed = rows.withColumn(column, hour_key("ingested_at", hours))
+        # Sorted by time, so that row groups of other hours are skipped on read.
+        sort = ["ingested_at", *sort]
+        if not touched:
+            self.overwrite_partitions(keyed, table, [column], sort)
+            return
+        first, last = min(touched), max(touched)
+        aside = self.staging(f"hours-{table.replace('/', '-')}-{first}-{last}")
+        aside.discard()
+        aside.overwrite_partitions(keyed, table, [column], sort)
+        written = set(aside._children(aside.path(table)))
+        self.publish(aside, [table])
+        self.drop_partitions(table, [f"{column}={k}" for k in touched if f"{column}={k}" not in written])
+        aside.discard()
 
     def partitions(self, table: str) -> list[str]:
         """First-level partitions like ``batch=7``, by their number."""
         return sorted(self._children(self.path(table)), key=lambda name: int(name.split("=")[1]))
 
-    def replace_partition(self, df: DataFrame, table: str, partition: str) -> None:
+    def replace_partition(
+        self, df: DataFrame, table: str, partition: str, options: Mapping[str, str] | None = None
+    ) -> None:
         """Make one partition hold exactly ``df``; no other is looked at."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{self.path(table)}/{partition}"
-        )
+        df.write.mode("overwrite").options(**(options or {})).option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{self.path(table)}/{partition}")
 
-    def rewrite_partition(self, df: DataFrame, table: str, partition: str) -> None:
+    def rewrite_partition(
+        self, df: DataFrame, table: str, partition: str, options: Mapping[str, str] | None = None
+    ) -> None:
         """The same where ``df`` reads the table: written aside, then moved in."""
         aside = self.staging(f"rewrite-{table.replace('/', '-')}")
         column = partition.split("=")[0]
-        aside.replace_partition(df.drop(column), table, partition)
+        aside.replace_partition(df.drop(column), table, partition, options)
         self.publish(aside, [table])
         aside.discard()
 
+    def size_of(self, table: str, partition: str) -> int:
+        """Bytes of one partition's files."""
+        filesystem, folder = self._hadoop(f"{self.path(table)}/{partition}")
+        return filesystem.getContentSummary(folder).getLength()
+
     def drop_partitions(self, table: str, names: Sequence[str]) -> None:
         for name in names:
             filesystem, folder = self._hadoop(f"{self.path(table)}/{name}")
@@ -206,8 +242,9 @@ class Lake:
     def publish(self, staged: Lake, tables: Sequence[str]) -> None:
         """Move the staged partitions into these tables, in place of those of the same name.
 
-        Files are renamed, not written again. Publishing a batch that broke off
-        half way again moves what is left.
+        Files are renamed, not written again. A partition is put aside before its successor
+        takes its name and deleted after, so it is missing between two renames only.
+        Publishing a batch that broke off half way again moves what is left.
         """
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         for table in tables:
@@ -215,9 +252,14 @@ class Lake:
             filesystem.mkdirs(target)
             for name in self._children(staged.path(table)):
                 folder = hadoop(f"{self.path(table)}/{name}")
-                filesystem.delete(folder, True)
+                # Readers pass over names with an underscore in front.
+                replaced = hadoop(f"{self.path(table)}/_replaced-{name}")
+                if filesystem.exists(folder):
+                    filesystem.delete(replaced, True)
+                    filesystem.rename(folder, replaced)
                 if not filesystem.rename(hadoop(f"{staged.path(table)}/{name}"), folder):
                     raise OSError(f"{name} of {table} was not moved")
+                filesystem.delete(replaced, True)
 
     def discard(self) -> None:
         """Delete a staged batch."""

@@ -14,11 +14,8 @@ _ACTOR_DETAIL = (
     "user_updated_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ"
 )
 _ACTOR_ROW = f"{_ACTOR_DETAIL}, country STRING, country_code STRING"
-_ACTOR_VERSION = (
-    f"{_ACTOR_ROW}, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN, "
-    "hash_diff STRING"
-)
 _HOUR = "ingested_hour INT"
+_BLOCK = "ingested_block INT"
 _BATCH = "batch INT"
 
 TABLE_SCHEMAS = {
@@ -31,6 +28,7 @@ TABLE_SCHEMAS = {
         "avatar_url: STRING>, public BOOLEAN, "
         f"created_at STRING, payload_raw STRING, ingested_at TIMESTAMP_NTZ, {_HOUR}"
     ),
+    "bronze/arrivals": "ingested_at TIMESTAMP_NTZ, arrival STRING",
     "bronze/malformed_lines": f"id STRING, line STRING, ingested_at TIMESTAMP_NTZ, {_HOUR}",
     "bronze/actor_meta": f"{_ACTOR_META}, {_HOUR}",
     "bronze/repo_meta": f"{_REPO_META}, {_HOUR}",
@@ -41,17 +39,17 @@ TABLE_SCHEMAS = {
     ),
     "silver/events": (
         "event_id STRING, repo_id BIGINT, actor_id BIGINT, action STRING, "
-        f"created_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_type STRING, {_HOUR}"
+        f"created_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_type STRING, {_BLOCK}"
     ),
+    "silver/event_dates": f"created_date DATE, n_events BIGINT, {_BLOCK}",
     "silver/actor_master": f"{_ACTOR_META}, {_BATCH}",
     "silver/repo_master": f"{_REPO_META}, {_BATCH}",
-    "silver/actor_detail_batch": f"{_ACTOR_VERSION}, {_HOUR}",
     "silver/actor_detail_scd": f"{_ACTOR_ROW}, valid_from TIMESTAMP_NTZ, hash_diff STRING, {_BATCH}",
     "gold/repo_metrics_hourly": (
         "repo_name STRING, repo_id BIGINT, ingested_at TIMESTAMP_NTZ, star_count BIGINT, "
         "fork_count BIGINT, star_rank INT, fork_rank INT, prev_star_count BIGINT, "
         "prev_fork_count BIGINT, prev_star_rank INT, prev_fork_rank INT, is_new BOOLEAN, "
-        f"star_trend INT, fork_trend INT, {_HOUR}"
+        f"star_trend INT, fork_trend INT, {_BLOCK}"
     ),
     "gold/repo_metrics_daily": (
         "repo_id BIGINT, star_count BIGINT, fork_count BIGINT, pr_count BIGINT, "

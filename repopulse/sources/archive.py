@@ -41,6 +41,17 @@ def archive_path(hour: datetime, folder: str) -> str:
     return f"{folder}/{hour:%Y-%m-%d-%H}{ARCHIVE_SUFFIX}"
 
 
+# Hours in file names: of the archive, padded or not, and of our own hour folders.
+ARCHIVE_NAME = (r"(\d{4}-\d{2}-\d{2}-\d{1,2})[.]json", REMOTE_FILE_FORMAT)
+
+
+def hour_in_path(path: Column | str, name: tuple[str, str] = ARCHIVE_NAME) -> Column:
+    """The hour that a file's path names; null if it names none."""
+    pattern, stamp = name
+    found = F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+    return F.try_to_timestamp(found, F.lit(stamp)).cast("timestamp_ntz")
+
+
 def hours_in(bounds: DataFrame) -> DataFrame:
     """Every hour from ``first_hour`` to ``last_hour``, both included, of a one-row frame."""
     spine = F.sequence(
@@ -82,10 +93,19 @@ def missing_hours(spine: DataFrame, landed: DataFrame, column: str = "ingested_a
 CORRUPT = "_corrupt_line"
 
 
-def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Events of archive files; a line that is no JSON object is kept in ``CORRUPT``."""
+FILE_PATH = "_file"
+
+
+def read_raw_events(
+    spark: SparkSession, path: str | list[str], with_path: bool = False
+) -> DataFrame:
+    """Events of archive files; a line that is no JSON object is kept in ``CORRUPT``.
+
+    ``with_path`` adds the file each line came from as ``FILE_PATH``.
+    """
     reader = spark.read.schema(f"{RAW_EVENT_SCHEMA}, {CORRUPT} STRING")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return raw.select("*", F.col("_metadata.file_path").alias(FILE_PATH)) if with_path else raw
 
 
 def well_formed(raw: DataFrame) -> DataFrame:
@@ -94,7 +114,8 @@ def well_formed(raw: DataFrame) -> DataFrame:
 
 def malformed(raw: DataFrame) -> DataFrame:
     # Spark reads no file for the corrupt column alone, hence the id.
-    return raw.where(F.col(CORRUPT).isNotNull()).select("id", F.col(CORRUPT).alias("line"))
+    lines = raw.where(F.col(CORRUPT).isNotNull()).withColumn("line", F.col(CORRUPT))
+    return lines.select("id", "line", *(c for c in raw.columns if c == "ingested_at"))
 
 
 def as_bronze(raw: DataFrame, ingested_at: Column) -> DataFrame:

@@ -1 +1 @@
-"""Hourly micro-batches: late data and replay without a stream."""
+"""Hourly micro-batches: late data and replay by recompute, landed files by a file stream."""

@@ -29,10 +29,9 @@ def replace_window(
     table: str,
     interval: Interval,
     sort: Sequence[str | Column] = (),
-    outer: Sequence[str] = (),
 ) -> None:
     """Make the hours of ``interval`` hold the rows of ``df`` that lie in it, and no others."""
-    lake.replace_hours(df, table, interval, outer, sort)
+    lake.replace_hours(df, table, interval, sort)
 
 
 def previous_hour(lake: Lake, table: str, interval: Interval) -> DataFrame:

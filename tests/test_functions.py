@@ -21,49 +21,49 @@ def values(df, name="v"):
 
 
 def test_parse_utc_turns_offsets_into_utc():
-    assert parse_utc("2026-03-03T11:20:00+09:00") == datetime(2026, 3, 3, 2, 20)
-    assert parse_utc("2026-03-03 11:20:00") == datetime(2026, 3, 3, 11, 20)
+    assert parse_utc("2025-09-17T11:20:00+09:00") == datetime(2025, 9, 17, 2, 20)
+    assert parse_utc("2025-09-17 11:20:00") == datetime(2025, 9, 17, 11, 20)
 
 
 def test_interval_alignment_and_neighbours():
-    run = Interval.of("2026-03-03T11:20:00Z", "2026-03-03T12:20:00Z")
-    assert run.aligned("hour") == Interval(datetime(2026, 3, 3, 11), datetime(2026, 3, 3, 12))
-    assert run.aligned("day") == Interval(datetime(2026, 3, 3), datetime(2026, 3, 3))
-    assert run.aligned("hour").before() == Interval(datetime(2026, 3, 3, 10), datetime(2026, 3, 3, 11))
-    assert Interval.day("2026-03-03T05:00:00").end == datetime(2026, 3, 4)
+    run = Interval.of("2025-09-17T11:20:00Z", "2025-09-17T12:20:00Z")
+    assert run.aligned("hour") == Interval(datetime(2025, 9, 17, 11), datetime(2025, 9, 17, 12))
+    assert run.aligned("day") == Interval(datetime(2025, 9, 17), datetime(2025, 9, 17))
+    assert run.aligned("hour").before() == Interval(datetime(2025, 9, 17, 10), datetime(2025, 9, 17, 11))
+    assert Interval.day("2025-09-17T05:00:00").end == datetime(2025, 9, 18)
     with pytest.raises(ValueError):
         run.aligned("week")
 
 
 def test_recompute_reaches_two_hours_back():
-    run = Interval.of("2026-03-03T11:20:00", "2026-03-03T12:20:00")
-    assert recompute_interval(run) == Interval(datetime(2026, 3, 3, 9), datetime(2026, 3, 3, 12))
+    run = Interval.of("2025-09-17T11:20:00", "2025-09-17T12:20:00")
+    assert recompute_interval(run) == Interval(datetime(2025, 9, 17, 9), datetime(2025, 9, 17, 12))
 
 
 def test_window_is_half_open(spark):
-    times = ["2026-03-03 11:00:00", "2026-03-03 11:59:59.999999", "2026-03-03 12:00:00"]
+    times = ["2025-09-17 11:00:00", "2025-09-17 11:59:59.999999", "2025-09-17 12:00:00"]
     df = spark.createDataFrame([(t,) for t in times], "t STRING").select(
         F.col("t").cast("timestamp_ntz").alias("t")
     )
-    hour = Interval.hour("2026-03-03 11:00:00")
+    hour = Interval.hour("2025-09-17 11:00:00")
     assert df.where(hour.contains("t")).count() == 2
-    unaligned = Interval.of("2026-03-03 11:30:00", "2026-03-03 12:30:00")
+    unaligned = Interval.of("2025-09-17 11:30:00", "2025-09-17 12:30:00")
     assert df.where(unaligned.contains("t")).count() == 2
-    assert hour.hour_keys() == [2026030311] and unaligned.hour_keys() == [2026030311, 2026030312]
+    assert hour.hour_keys() == [2025091711] and unaligned.hour_keys() == [2025091711, 2025091712]
     assert Interval(hour.end, hour.start).hour_keys() == []
 
 
 def test_hour_of_keeps_wall_clock(spark):
-    df = spark.sql("SELECT TIMESTAMP_NTZ '2026-03-03 11:59:59.5' AS t")
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2025-09-17 11:59:59.5' AS t")
     out = df.select(hour_of("t").alias("v"), hour_key("t").alias("k"))
     assert out.schema["v"].dataType.simpleString() == "timestamp_ntz"
-    assert out.first() == (datetime(2026, 3, 3, 11), 2026030311)
+    assert out.first() == (datetime(2025, 9, 17, 11), 2025091711)
 
 
 def test_event_time_reads_offsets_and_survives_bad_text(spark):
-    rows = [("2026-03-03T11:00:00Z",), ("2026-03-03T11:00:00+09:00",), ("yesterday",), (None,)]
+    rows = [("2025-09-17T11:00:00Z",), ("2025-09-17T11:00:00+09:00",), ("yesterday",), (None,)]
     df = spark.createDataFrame(rows, "t STRING").select(event_time("t", "string").alias("v"))
-    assert values(df) == [datetime(2026, 3, 3, 11), datetime(2026, 3, 3, 2), None, None]
+    assert values(df) == [datetime(2025, 9, 17, 11), datetime(2025, 9, 17, 2), None, None]
 
 
 def test_company_cleaning(spark):

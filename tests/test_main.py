@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 
 def test_jobs_from_the_command_line(spark, lake, tmp_path, capsys):
-    raw = tmp_path / "2026-03-03-10.json.gz"
+    raw = tmp_path / "2025-09-17-10.json.gz"
     row = {
         "id": "1", "type": "WatchEvent", "actor": {"id": 1, "login": "a"}, "repo": {"id": 7, "name": "r"},
-        "payload": {"action": "started"}, "created_at": "2026-03-03T10:00:00Z",
+        "payload": {"action": "started"}, "created_at": "2025-09-17T10:00:00Z",
     }
     with gzip.open(raw, "wt") as out:
         out.write(json.dumps(row) + "\n")
-    window = ["--data_interval_start", "2026-03-03T10:20:00Z", "--data_interval_end", "2026-03-03T11:20:00Z"]
+    window = ["--data_interval_start", "2025-09-17T10:20:00Z", "--data_interval_end", "2025-09-17T11:20:00Z"]
     root = ["--lake", lake.root]
-    cli.main(["ingest-hour", *root, "--source_path", str(raw), "--data_interval_start", "2026-03-03T10:10:00Z"])
+    cli.main(["ingest-hour", *root, "--source_path", str(raw), "--data_interval_start", "2025-09-17T10:10:00Z"])
     assert capsys.readouterr().out == "ingest-hour: 1\n"
     cli.main(["check-events", *root, *window, "--run_id", "r", "--mode", "fail"])
     for job in ("extract-actor-meta", "extract-repo-meta", "load-actor-master", "load-repo-master",
@@ -32,7 +32,7 @@ def test_jobs_from_the_command_line(spark, lake, tmp_path, capsys):
     printed = capsys.readouterr().out.splitlines()
     assert "extract-actor-meta: 1" in printed
     assert "repo-metrics-hourly: {'stars': 1, 'forks': 0}" in printed
-    cli.main(["repo-metrics-daily", *root, "--target_date", "2026-03-03"])
+    cli.main(["repo-metrics-daily", *root, "--target_date", "2025-09-17"])
     assert lake.read(jobs.REPO_HOURLY).first().repo_name == "r"
     assert lake.read(jobs.REPO_DAILY).first().star_count == 1
 
@@ -62,11 +62,11 @@ def test_parsed_payload_is_written_back_to_text(spark):
 
 
 def test_hours_still_to_load(spark):
-    interval = Interval.of("2026-03-03T08:10:00", "2026-03-03T11:10:00")
-    landed = spark.sql("SELECT TIMESTAMP_NTZ '2026-03-03 09:30:00' AS ingested_at")
+    interval = Interval.of("2025-09-17T08:10:00", "2025-09-17T11:10:00")
+    landed = spark.sql("SELECT TIMESTAMP_NTZ '2025-09-17 09:30:00' AS ingested_at")
     rows = missing_hours(hours_of_interval(spark, interval), landed).orderBy("hour").collect()
-    assert [r.archive_key for r in rows] == ["raw/archive/2026-03-03-08.json.gz", "raw/archive/2026-03-03-10.json.gz"]
-    assert [r.remote_file for r in rows] == ["2026-03-03-8.json.gz", "2026-03-03-10.json.gz"]
-    assert archive_path(parse_utc("2026-03-03T08:00:00"), "raw/archive") == rows[0].archive_key
-    empty = Interval.of("2026-03-03T08:10:00", "2026-03-03T08:20:00")
+    assert [r.archive_key for r in rows] == ["raw/archive/2025-09-17-08.json.gz", "raw/archive/2025-09-17-10.json.gz"]
+    assert [r.remote_file for r in rows] == ["2025-09-17-8.json.gz", "2025-09-17-10.json.gz"]
+    assert archive_path(parse_utc("2025-09-17T08:00:00"), "raw/archive") == rows[0].archive_key
+    empty = Interval.of("2025-09-17T08:10:00", "2025-09-17T08:20:00")
     assert hours_of_interval(spark, empty).count() == 0

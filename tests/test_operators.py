@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,14 @@ from pyspark.sql import functions as F
 from repopulse.operators import country, events, metrics, quality, upsert
 from repopulse.operators.latest import latest_per_key
 from repopulse.operators.point_in_time import point_in_time_join
-from repopulse.operators.rank import distributed_ranks, rank_trend, rank_trend_over_history
+from repopulse.operators.rank import (
+    _position,
+    _slice_between,
+    distributed_ranks,
+    rank_trend,
+    rank_trend_over_history,
+    ranks_of_any_ids,
+)
 from repopulse.operators.skew import salted_join
 
 BRONZE = (
@@ -16,7 +24,7 @@ BRONZE = (
     "repo STRUCT<id: BIGINT, name: STRING>, payload_raw STRING, created_at STRING, "
     "ingested_at TIMESTAMP_NTZ"
 )
-HOUR = datetime(2026, 3, 3, 11)
+HOUR = datetime(2025, 9, 17, 11)
 
 
 def as_tuples(df, *columns):
@@ -27,7 +35,7 @@ def as_tuples(df, *columns):
 
 
 def event(id, type="WatchEvent", actor=(1, "a"), repo=(7, "r"), payload="{}"):
-    return (id, type, actor, repo, payload, "2026-03-03T10:59:00Z", HOUR)
+    return (id, type, actor, repo, payload, "2025-09-17T10:59:00Z", HOUR)
 
 
 def test_typed_events_keeps_known_people_of_wanted_types(spark):
@@ -42,7 +50,7 @@ def test_typed_events_keeps_known_people_of_wanted_types(spark):
     ]
     out = events.typed_events(spark.createDataFrame(rows, BRONZE))
     assert as_tuples(out, "event_id", "action") == [("kept", "started"), ("no-action", None)]
-    assert out.first().created_at == datetime(2026, 3, 3, 10, 59)
+    assert out.first().created_at == datetime(2025, 9, 17, 10, 59)
     watch = events.typed_events(spark.createDataFrame(rows, BRONZE), ["WatchEvent"])
     assert [r.event_id for r in watch.collect()] == ["kept"]
 
@@ -152,6 +160,36 @@ def test_point_in_time_bounds(spark):
     kept = point_in_time_join(happened, versions, how="left")
     assert kept.count() == 6
     assert kept.where(F.col("code").isNull()).count() == 3
+    odd = spark.createDataFrame([(None, 15), (1, None)], "actor_id INT, created_at INT")
+    assert point_in_time_join(odd, versions).count() == 0
+    assert {r.code for r in point_in_time_join(odd, versions, how="left").collect()} == {None}
+    # An empty version gives way to the one that begins with it; an expired one is none.
+    more = spark.createDataFrame(
+        [(1, 5, 5, "none"), (1, 5, 6, "X"), (1, 40, 45, "Y")], "user_id INT, valid_from INT, valid_to INT, code STRING"
+    )
+    out = point_in_time_join(happened.unionByName(odd.selectExpr("1 AS actor_id", "5 AS created_at")), more, stretch=3)
+    assert as_tuples(out, "created_at", "code") == [(5, "X"), (5, "X")]
+
+
+def test_point_in_time_reads_events_once_and_spreads_a_key(spark):
+    """One key with all events: its stretches are dealt apart, and both steps share a shuffle."""
+    happened = spark.range(20_000).select(F.lit(1).alias("actor_id"), F.col("id").alias("created_at"))
+    versions = spark.range(20).select(
+        F.lit(1).alias("user_id"), (F.col("id") * 1000).alias("valid_from"),
+        (F.col("id") * 1000 + 1000).alias("valid_to"), F.col("id").alias("number"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = point_in_time_join(happened, versions, stretch=500)
+        assert out.where(F.col("number") != F.floor(F.col("created_at") / 1000)).count() == 0
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan and "ShuffledHashJoin" in plan
+        # Not all rows in one of the shuffle's partitions.
+        dealt = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(dealt) > 1 or spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") != "false"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # -- rank and trend ---------------------------------------------------------------------------
@@ -201,14 +239,14 @@ def test_first_load_defaults(spark):
 
 def test_daily_top_breaks_ties_by_repo(spark):
     df = spark.createDataFrame(
-        [(i, datetime(2026, 3, 3).date(), 1 if i > 5 else 2) for i in range(1, 11)],
+        [(i, datetime(2025, 9, 17).date(), 1 if i > 5 else 2) for i in range(1, 11)],
         "repo_id INT, created_date DATE, star_count INT",
     )
     assert [r.repo_id for r in metrics.top_repos(df, 7).collect()] == [1, 2, 3, 4, 5, 6, 7]
 
 
 def test_contributions_know_only_versions_loaded_by_the_end_of_the_day(spark):
-    day = datetime(2026, 3, 3)
+    day = datetime(2025, 9, 17)
     silver = spark.createDataFrame(
         [("e1", 7, 1, "WatchEvent", day, day), ("e2", 7, 2, "PushEvent", day, day), ("e3", 7, 3, "PushEvent", day, day)],
         "event_id STRING, repo_id INT, actor_id INT, event_type STRING, "
@@ -217,8 +255,8 @@ def test_contributions_know_only_versions_loaded_by_the_end_of_the_day(spark):
     end = datetime(9999, 12, 31)
     versions = spark.createDataFrame(
         [
-            (1, "KOR", day, end, datetime(2026, 3, 3, 23)),
-            (2, "USA", day, end, datetime(2026, 3, 4)),
+            (1, "KOR", day, end, datetime(2025, 9, 17, 23)),
+            (2, "USA", day, end, datetime(2025, 9, 18)),
             (3, "UNKNOWN", day, end, day),
         ],
         "user_id INT, country_code STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, "
@@ -309,3 +347,54 @@ def test_failed_checks_are_named(spark):
     assert quality.failed_checks(quality.run_checks(df, quality.EVENT_CHECKS, "r")) == [
         "not_null(ingested_at): 1 bad rows"
     ]
+
+
+@pytest.mark.parametrize("kind", ["sparse", "text", "alike"])
+def test_ranks_of_any_ids(spark, kind):
+    rng = random.Random(kind)
+    make = {
+        "sparse": lambda: rng.choice([-1, 1]) * rng.getrandbits(62),
+        "text": lambda: "".join(rng.choices("aéz漢\x01", k=rng.randint(0, 9))),
+        "alike": lambda: "the same beginning " + str(rng.getrandbits(40)),
+    }[kind]
+    ids = sorted({make() for _ in range(400)}, key=lambda i: str(i).encode() if kind != "sparse" else i)
+    rows = [(h, i, rng.choice([0, 1, 1, 1, 5])) for h in (1, 2) for i in ids]
+    df = spark.createDataFrame(rows, f"hour INT, id {'BIGINT' if kind == 'sparse' else 'STRING'}, score INT")
+    out = ranks_of_any_ids(df.repartition(3), {"place": "score"}, "id", ["hour"], slices=16)
+    expected = set()
+    for hour in (1, 2):
+        place = {i: n for n, i in enumerate(ids)}
+        ranked = sorted((-s, place[i], i) for h, i, s in rows if h == hour)
+        expected |= {(hour, i, -s, n) for n, (s, _, i) in enumerate(ranked, 1)}
+    assert {(r.hour, r.id, r.score, r.place) for r in out.collect()} == expected
+
+
+def test_any_ids_are_sliced_evenly(spark):
+    """A tie of hashed ids is cut into ranges of like size, one offset per score and range."""
+    df = spark.range(8000).select(F.xxhash64("id").alias("id"), F.lit(1).alias("score"))
+    bounds = df.agg(F.percentile_approx(_position("id", "bigint"), [n / 8 for n in range(1, 8)], 160).alias("b"))
+    sliced = df.withColumn("s", _slice_between(_position("id", "bigint"), sorted(bounds.first().b)))
+    sizes = [r["count"] for r in sliced.groupBy("s").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1300
+    assert ranks_of_any_ids(df.limit(0), {"r": "score"}, "id").count() == 0
+
+
+def test_checks_counted_by_the_write(spark, tmp_path):
+    rows = [("a", 1), ("a", None), (None, 3)]
+    df = spark.createDataFrame(rows, "id STRING, ingested_at INT")
+    checks = (*quality.EVENT_CHECKS, quality.RowCount(4))
+    counted, seen = quality.observed(df, checks)
+    counted.write.parquet(str(tmp_path / "t"))
+    written = spark.read.parquet(str(tmp_path / "t"))
+    report = quality.run_checks(written, checks, "r", seen.get)
+    assert set(report.collect()) == set(quality.run_checks(written, checks, "r").collect())
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Project [id#" in plan
+
+
+def test_upsert_keeps_null_keys_apart_and_joins_nothing(spark):
+    target = spark.createDataFrame([(1, 1, "t"), (None, 5, "t")], "id INT, version INT, tag STRING")
+    source = spark.createDataFrame([(None, 9, "s"), (2, None, "s"), (1, None, "s")], target.schema)
+    out = upsert.upsert_newest(target, source, "id", "version")
+    assert {tuple(r) for r in out.collect()} == {(1, 1, "t"), (None, 5, "t"), (None, 9, "s"), (2, None, "s")}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -51,6 +51,7 @@ NOT_PLANNED = {
     "q_ingest_bronze", "q_ingest_to_silver", "q_upsert_repo_master", "q_scd2_merge_table",
     "q_sink_roundtrip", "q_partition_overwrite", "q_recompute_window", "q_schema_evolve",
     "q_serving_table_daily", "q_repo_metrics_daily_job", "q_repo_metrics_hourly_late", "q_wap_publish", "q_partition_enrich",
+    "q_ingest_landed", "q_scd2_late_batch", "q_current_actor_view",
 }
 
 
@@ -90,10 +91,20 @@ def test_filters_of_silver_reach_the_files(spark, lake):
     assert "avatar_url" not in columns
 
 
-def test_point_in_time_join_is_an_equi_join(spark):
+def test_point_in_time_join_is_a_merge(spark):
     happened = spark.range(10).select(F.col("id").alias("actor_id"), F.col("id").alias("created_at"))
     versions = spark.range(10).select(
         F.col("id").alias("user_id"), F.lit(0).alias("valid_from"), F.lit(9).alias("valid_to")
     )
     plan = planned(point_in_time_join(happened, versions))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "Window" in plan
+
+
+def test_contributions_hash_the_slice_of_the_dimension(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = planned(QUERIES["q_contribution_daily"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin [_key" in plan

@@ -81,12 +81,12 @@ def test_dimension_has_one_current_row_and_no_overlap(spark, batches):
 @RUNS
 @given(happened=st.lists(st.tuples(small, st.integers(0, 20)), max_size=40),
        cuts=st.dictionaries(small, st.sets(st.integers(0, 20), min_size=2, max_size=5), max_size=5),
-       hot=st.integers(1, 5))
-def test_point_in_time_join_with_hot_keys(spark, happened, cuts, hot):
+       stretch=st.integers(1, 25))
+def test_point_in_time_join_across_stretches(spark, happened, cuts, stretch):
     spans = [(key, a, b) for key, points in cuts.items() for a, b in zip(sorted(points), sorted(points)[1:])]
     df = spark.createDataFrame(happened, "actor_id INT, created_at INT")
     dim = spark.createDataFrame(spans, "user_id INT, valid_from INT, valid_to INT")
-    out = point_in_time_join(df, dim, hot_rows=hot)
+    out = point_in_time_join(df, dim, stretch=stretch)
     got = Counter((r.actor_id, r.created_at, r.valid_from) for r in out.collect())
     assert got == Counter((k, t, a) for k, t in happened for key, a, b in spans if key == k and a <= t < b)
 

@@ -50,9 +50,9 @@ def test_target_from_conf_and_options(spark):
 
 def test_slices(spark):
     df = spark.createDataFrame(
-        [(1, date(2026, 3, 3), datetime(2026, 3, 3, 11)), (2, date(2026, 3, 4), datetime(2026, 3, 3, 12))],
+        [(1, date(2025, 9, 17), datetime(2025, 9, 17, 11)), (2, date(2025, 9, 18), datetime(2025, 9, 17, 12))],
         "id INT, created_date DATE, ingested_at TIMESTAMP_NTZ",
     )
-    assert [r.id for r in serving.staged_day(df, "2026-03-03").collect()] == [1]
-    assert [r.id for r in serving.staged_day(df, date(2026, 3, 4)).collect()] == [2]
-    assert [r.id for r in serving.staged_window(df, Interval.hour("2026-03-03T12:00:00")).collect()] == [2]
+    assert [r.id for r in serving.staged_day(df, "2025-09-17").collect()] == [1]
+    assert [r.id for r in serving.staged_day(df, date(2025, 9, 18)).collect()] == [2]
+    assert [r.id for r in serving.staged_window(df, Interval.hour("2025-09-17T12:00:00")).collect()] == [2]
