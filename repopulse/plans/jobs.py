@@ -293,12 +293,15 @@ def transform_silver_events(
 def write_silver(lake: Lake, events: DataFrame, window: Interval) -> None:
     """Make the window's hours of silver hold ``events``, and note the days they were created on.
 
-    The note, a row per folder and creation date, is what finds all events of a date
-    later, however late some of them came.
+    The note, a row per folder and creation date in a file a month, is what finds all
+    events of a date later, however late some of them came.
     """
     replace_window(lake, events, SILVER_EVENTS, window, ["event_type"])
     keys = window.hour_keys(BLOCK_HOURS)
-    dates = (
+    block = F.col(BLOCK_PARTITION)
+    inside = block.between(keys[0], keys[-1])
+    month = F.expr(f"{BLOCK_PARTITION} div 10000").cast("int")
+    noted = (
         lake.read_keys(SILVER_EVENTS, keys)
         .groupBy(
             F.to_date("created_at").alias("created_date"),
@@ -306,8 +309,13 @@ def write_silver(lake: Lake, events: DataFrame, window: Interval) -> None:
         )
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
-    lake.drop_partitions(EVENT_DATES, [f"{BLOCK_PARTITION}={key}" for key in keys])
-    lake.overwrite_partitions(dates, EVENT_DATES, [BLOCK_PARTITION])
+    months = sorted({key // 10000 for key in keys})
+    others = lake.read(EVENT_DATES).where(F.col("month").isin(months) & ~inside).drop("month")
+    aside = lake.staging(f"dates-{keys[0]}-{keys[-1]}")
+    aside.discard()
+    notes = noted.unionByName(others).withColumn("month", month)
+    aside.overwrite_partitions(notes, EVENT_DATES, ["month"])
+    lake.replace_partitions(aside, EVENT_DATES, [f"month={m}" for m in months])
 
 
 def events_of_type(lake: Lake, event_type: str) -> DataFrame:

@@ -175,9 +175,13 @@ class Lake:
         aside = self.staging(f"hours-{table.replace('/', '-')}-{first}-{last}")
         aside.discard()
         aside.overwrite_partitions(keyed, table, [column], sort)
+        self.replace_partitions(aside, table, [f"{column}={key}" for key in touched])
+
+    def replace_partitions(self, aside: Lake, table: str, names: Sequence[str]) -> None:
+        """Move in what was written aside; those of ``names`` that got no rows there go."""
         written = set(aside._children(aside.path(table)))
         self.publish(aside, [table])
-        self.drop_partitions(table, [f"{column}={k}" for k in touched if f"{column}={k}" not in written])
+        self.drop_partitions(table, [name for name in names if name not in written])
         aside.discard()
 
     def partitions(self, table: str) -> list[str]:

@@ -41,7 +41,7 @@ TABLE_SCHEMAS = {
         "event_id STRING, repo_id BIGINT, actor_id BIGINT, action STRING, "
         f"created_at TIMESTAMP_NTZ, ingested_at TIMESTAMP_NTZ, event_type STRING, {_BLOCK}"
     ),
-    "silver/event_dates": f"created_date DATE, n_events BIGINT, {_BLOCK}",
+    "silver/event_dates": f"created_date DATE, {_BLOCK}, n_events BIGINT, month INT",
     "silver/actor_master": f"{_ACTOR_META}, {_BATCH}",
     "silver/repo_master": f"{_REPO_META}, {_BATCH}",
     "silver/actor_detail_scd": f"{_ACTOR_ROW}, valid_from TIMESTAMP_NTZ, hash_diff STRING, {_BATCH}",
