@@ -379,7 +379,7 @@ def q_current_actor_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pit_join(spark: SparkSession, sf: str) -> DataFrame:
-    versions = _dimension(spark, sf).select(
+    versions = _stored(_dimension(spark, sf), "dimension").select(
         "user_id", "company", "country", "valid_from", "valid_to"
     )
     joined = point_in_time_join(tables.silver_events(spark, sf), versions)
@@ -394,7 +394,7 @@ def q_pit_join_orders(spark: SparkSession, sf: str) -> DataFrame:
         _batch(spark, sf, tables.SECOND_BATCH, second),
         "user_id",
     )
-    versions = dimension.select("user_id", "company", "valid_from", "valid_to")
+    versions = _stored(dimension.select("user_id", "company", "valid_from", "valid_to"), "versions")
     orders = tables.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = point_in_time_join(
         orders, versions, event_key="o_custkey", at="o_orderdate", stretch="year"
@@ -403,9 +403,8 @@ def q_pit_join_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_contribution_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.daily_country_contributions(
-        tables.silver_events(spark, sf), _dimension(spark, sf)
-    )
+    versions = _stored(_dimension(spark, sf), "dimension")
+    return metrics.daily_country_contributions(tables.silver_events(spark, sf), versions)
 
 
 # -- hourly and daily metrics ------------------------------------------------------------
