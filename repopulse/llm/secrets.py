@@ -1,14 +1,19 @@
 """Secret scan by dictionary-primed zstandard novelty (operator 1).
 
 Candidates are strings that three plain patterns name (kinds ``assign``, ``access``,
-``hex``) and strings of 16 characters or more, letters and digits mixed, that follow a
-sensitive word within 64 characters on its line (kind ``novel``). Each candidate is
-measured by its marginal compressed bytes: the size of its surroundings with it less
-the size without it, by zstandard primed with a dictionary of identifiers. Words that
-the dictionary or the surroundings explain cost few bytes; a random string costs most
-of its length. Pattern candidates always stay, with their measure; a ``novel``
-candidate is reported if it costs at least ``min_novelty`` bytes per byte and overlaps
-no pattern candidate.
+``hex``) and strings of 12 characters or more with a letter that stand near a sensitive
+word (kind ``novel``): at most 64 characters after it, on its line or the next one that
+is not blank, or before it on its line. Each candidate is measured by its marginal
+compressed bytes: the size of its surroundings with it less the size without it, by
+zstandard primed with a dictionary of identifiers, common ones and those that the text
+itself repeats. Words that the dictionary or the surroundings explain cost few bytes; a
+random string costs most of its length. Other copies of a candidate are cut out of its
+surroundings first: a secret that is written twice is a secret.
+
+Pattern candidates always stay, with their measure. A ``novel`` candidate is reported
+if it overlaps no pattern candidate and costs at least ``min_novelty`` bytes per byte;
+strings under 16 characters, of letters only or before the word need ``min_alone``,
+which natural words do not reach.
 
 Places are code points, end exclusive. Defined cases: a null text is the empty text,
 without findings. A null ``doc_id`` stays null, repeated rows are scanned each, other
@@ -18,6 +23,8 @@ columns are not read, an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +32,9 @@ from pyspark.sql import functions as F
 from repopulse.llm.common import per_row, texts_of
 
 MIN_NOVELTY = 0.6
+MIN_ALONE = 0.9
 SURROUNDINGS = 256
+OWN_IDENTIFIERS = 4096  # bytes of the text's own names in the dictionary, the commonest
 KINDS = ("assign", "access", "hex", "novel")
 
 # The patterns of the three kinds.
@@ -56,7 +65,9 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ .com .org .net www. mail. "
 )
 _CONTEXT = re.compile("|".join(SENSITIVE_WORDS), re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.~-]{12,}={0,2}")
+_NAME = re.compile("[A-Za-z_]{4,}")
+_LONG = 16
 _REACH = 64
 _HEX_CLASS = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 _HEX_RUN = b"x" * MIN_HEX
@@ -67,38 +78,58 @@ Span = tuple[str, int, int]
 class Scanner:
     """Finds and measures candidates in one text after the other."""
 
-    def __init__(self, min_novelty: float = MIN_NOVELTY, identifiers: str = IDENTIFIERS):
+    def __init__(
+        self,
+        min_novelty: float = MIN_NOVELTY,
+        min_alone: float = MIN_ALONE,
+        identifiers: str = IDENTIFIERS,
+    ):
         import zstandard
 
-        primed = zstandard.ZstdCompressionDict(
-            identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        self._zstd = zstandard
+        # Small inputs: the shortest matches count, so that syllables of words do.
+        self._level = zstandard.ZstdCompressionParameters.from_level(
+            19, min_match=3, write_checksum=False, write_content_size=False
         )
-        self._compress = zstandard.ZstdCompressor(
-            level=3, dict_data=primed, write_checksum=False, write_content_size=False
-        ).compress
-        self._min_novelty = min_novelty
+        self._identifiers = identifiers.encode()
+        self._common = self._primed(b"")
+        self._min_novelty, self._min_alone = min_novelty, min_alone
 
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
         """(kind, start, end, novelty) by start, then kind as listed."""
         low = text.lower()
         named = pattern_spans(text, low)
-        found = [(*span, self.novelty(text, span[1], span[2])) for span in named]
+        near = []
         if any(word in low for word in SENSITIVE_WORDS):
-            for start, end in _in_context(text):
-                if any(start < b and a < end for _, a, b in named):
-                    continue
-                novelty = self.novelty(text, start, end)
-                if novelty >= self._min_novelty:
-                    found.append(("novel", start, end, novelty))
+            near = _without(_in_context(text), named)
+        if not named and not near:
+            return []
+        size_of = self._primed(_own_names(text, [text[a:b] for a, b, _ in near]))
+        found = [(*span, self.novelty(text, *span[1:], size_of)) for span in named]
+        for start, end, alone in near:
+            novelty = self.novelty(text, start, end, size_of)
+            if novelty >= (self._min_alone if alone else self._min_novelty):
+                found.append(("novel", start, end, novelty))
         return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
 
-    def novelty(self, text: str, start: int, end: int) -> float:
+    def novelty(self, text: str, start: int, end: int, size_of=None) -> float:
         """Marginal compressed bytes per byte of ``text[start:end]``."""
-        before = text[max(0, start - SURROUNDINGS) : start].encode("utf-8", "replace")
-        after = text[end : end + SURROUNDINGS].encode("utf-8", "replace")
+        size_of = size_of or self._common
         middle = text[start:end].encode("utf-8", "replace")
-        with_it = len(self._compress(before + after + middle))
-        return max(0, with_it - len(self._compress(before + after))) / max(1, len(middle))
+        around = b"".join(
+            part.encode("utf-8", "replace").replace(middle, b"")
+            for part in (text[max(0, start - SURROUNDINGS) : start], text[end : end + SURROUNDINGS])
+        )
+        return max(0, size_of(around + middle) - size_of(around)) / max(1, len(middle))
+
+    def _primed(self, names: bytes):
+        known = self._zstd.ZstdCompressionDict(
+            names + self._identifiers, dict_type=self._zstd.DICT_TYPE_RAWCONTENT
+        )
+        compress = self._zstd.ZstdCompressor(
+            compression_params=self._level, dict_data=known
+        ).compress
+        return lambda data: len(compress(data))
 
 
 def pattern_spans(text: str, low: str) -> list[Span]:
@@ -119,19 +150,62 @@ def pattern_spans(text: str, low: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def _in_context(text: str) -> list[tuple[int, int]]:
-    """Mixed strings near a sensitive word, each once."""
-    places: dict[tuple[int, int], None] = {}
+def _own_names(text: str, candidates: list[str]) -> bytes:
+    """Names that the text repeats and that are part of no candidate, commonest first."""
+    if not candidates:
+        return b""
+    doubted = {name for string in candidates for name in _NAME.findall(string)}
+    names = Counter(_NAME.findall(text))
+    own = sorted(
+        (name for name, n in names.items() if n > 1 and name not in doubted),
+        key=lambda name: (-names[name], name),
+    )
+    return " ".join(own).encode()[:OWN_IDENTIFIERS] + b" "
+
+
+def _without(near: list[tuple[int, int, bool]], named: list[Span]) -> list[tuple[int, int, bool]]:
+    """Strings that overlap no named span."""
+    starts = [start for _, start, _ in named]
+    ends: list[int] = []  # the furthest end of the spans up to each
+    for _, _, end in named:
+        ends.append(max(end, ends[-1] if ends else 0))
+    kept = []
+    for start, end, alone in near:
+        before = bisect_left(starts, end)
+        if not before or ends[before - 1] <= start:
+            kept.append((start, end, alone))
+    return kept
+
+
+def _in_context(text: str) -> list[tuple[int, int, bool]]:
+    """Strings near a sensitive word, and whether their novelty alone must tell."""
+    starts, ends = [], []
     for word in _CONTEXT.finditer(text):
-        line_end = text.find("\n", word.end())
-        reach = min(word.end() + _REACH, line_end if line_end >= 0 else len(text))
-        at = word.end()
-        while (match := _CANDIDATE.search(text, at)) and match.start() < reach:
-            string = match[0]
-            if any(c.isdigit() for c in string) and any(c.isalpha() for c in string):
-                places[match.span()] = None
-            at = match.end()
-    return sorted(places)
+        starts.append(word.start())
+        ends.append(word.end())
+    places = []
+    for match in _CANDIDATE.finditer(text):
+        start, end = match.span()
+        string = match[0]
+        if not any(c.isalpha() for c in string):
+            continue
+        # The last word that begins before the string ends, and the first after it.
+        last = bisect_left(starts, end) - 1
+        follows = last >= 0 and (ends[last] > start or _leads(text[ends[last] : start]))
+        after = bisect_right(starts, end - 1)
+        precedes = after < len(starts) and starts[after] - end <= _REACH
+        precedes = precedes and "\n" not in text[end : starts[after]]
+        if follows or precedes:
+            mixed = any(c.isdigit() for c in string)
+            places.append((start, end, not (follows and mixed and len(string) >= _LONG)))
+    return places
+
+
+def _leads(between: str) -> bool:
+    """Whether a string after this much text still belongs to the word before it."""
+    if len(between) > _REACH:
+        return False
+    return not any(line.strip() for line in between.split("\n")[1:-1])
 
 
 def find_secrets(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -66,6 +67,51 @@ def test_novelty_tells_random_strings_from_words():
     assert scanner.scan("x" * 300_000) == [] and scanner.scan("") == []
 
 
+@pytest.mark.parametrize(
+    ("text", "string"),
+    [
+        ("the secret is QhZkTwXvNbHdJfGsPlRmCy.", "QhZkTwXvNbHdJfGsPlRmCy."),
+        ("private_key:\nq8Zt5LmW2xVb9KcR4nYp", "q8Zt5LmW2xVb9KcR4nYp"),
+        ("private_key:\r\n \n  q8Zt5LmW2xVb9KcR4nYp", "q8Zt5LmW2xVb9KcR4nYp"),
+        ("x9Kq2ZtL8vBn4Mw is the password", "x9Kq2ZtL8vBn4Mw"),
+        ("the pin: aZ8kQ2mN5xT1", "aZ8kQ2mN5xT1"),
+    ],
+)
+def test_novelty_decides_wherever_the_string_stands(text, string):
+    start = text.index(string)
+    found = secrets.Scanner().scan(text)
+    assert [f[:3] for f in found] == [("novel", start, start + len(string))]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "the key characteristics of internationalization",
+        "the session is in ConnectionPoolManager",
+        "key\n\nanother line\nq8Zt5LmW2xVb9KcR4nYp",
+        "q8Zt5LmW2xVb9KcR4nYp\nkey",
+        "key " + "a " * 40 + "q8Zt5LmW2xVb9KcR4nYp",
+        "token_budget_per_minute and token_budget_per_hour; key token_budget_per_minute",
+    ],
+)
+def test_words_and_far_strings_are_no_secrets(text):
+    assert secrets.Scanner().scan(text) == []
+
+
+def test_a_secret_written_twice_is_found_twice_and_overlaps_go():
+    scan, noise = secrets.Scanner().scan, "q8Zt5LmW2xVb9KcR4nYp"
+    assert len(scan(f"key {noise} and key {noise}")) == 2
+    assert [f[0] for f in scan(f"password={noise} key {noise}")] == ["assign", "novel"]
+
+
+def test_scanning_is_linear_in_sensitive_words():
+    scan = secrets.Scanner().scan
+    for text in ("key = v; " * 45_000, "key\n" * 100_000, "q8Zt5LmW2xVb9KcR4nYp " * 20_000):
+        began = time.perf_counter()
+        scan(text)
+        assert time.perf_counter() - began < 5, text[:20]
+
+
 def plain_licenses(text):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
