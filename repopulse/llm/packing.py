@@ -14,6 +14,7 @@ are not read. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections import Counter, defaultdict
 
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repopulse.llm.bin_completion import pack_histogram
+from repopulse.llm.bin_completion import search
 from repopulse.llm.common import per_row, stored, texts_of
 from repopulse.llm.tokens import shared_encoder
 
+_log = logging.getLogger(__name__)
+
 CAPACITY = 4096
 SLICE_PIECES = 1_000
 
@@ -70,14 +73,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_pieces: int = SLICE_
         row["length"]: row["n"]
         for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()
     }  # at most one entry per length up to the capacity
-    places = _places(pack_histogram(counts, capacity))
+    found = search(counts, capacity)
+    _log.info(
+        "%d sequences, lower bound %d, fewest: %s",
+        found.used, found.bound, "proven" if found.proven else "search ended first",
+    )
+    places = _places(found.bins)
 
     # How many slices each length has, by length: one number per length up to the capacity.
     slices = [1 - counts.get(n, 0) // -slice_pieces for n in range(capacity + 1)]
     own = F.element_at(F.array(*map(F.lit, slices)), F.col("length").cast("int") + 1)
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), own).cast("int")
     salted = pieces.withColumn("_slice", salt)
-    in_slice = Window.partitionBy("length", "_slice").orderBy("doc_id", "piece")
+    in_slice = Window.partitionBy("length", "_slice").orderBy(
+        "doc_id", "piece", "ids_crc32", "start"
+    )
     before = (
         Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from repopulse.llm import packing, rans, token_files
-from repopulse.llm.bin_completion import best_fit, lower_bound, pack_histogram
+from repopulse.llm.bin_completion import best_fit, lower_bound, pack_histogram, search
 from repopulse.llm.common import table
 from repopulse.llm.tokens import TextEncoder, vocabulary_path
 from repopulse.session import scratch_path
@@ -146,6 +147,36 @@ def test_bin_completion_beats_best_fit_where_it_can():
     assert sum(t for _, t in best_fit(counts, 10)) >= 4
 
 
+def test_search_equals_trying_everything():
+    chance = random.Random(11)
+    cases = [(150, [74, 71, 69, 63, 54, 37, 33, 31])]
+    for _ in range(1000):
+        capacity, most = chance.randint(60, 200), chance.choice([40, 50, 60, 90])
+        sizes = range(capacity // 10, capacity * most // 100)
+        cases.append((capacity, chance.choices(sizes, k=chance.randint(6, 14))))
+    for capacity, lengths in cases:
+        found = search(dict(Counter(lengths)), capacity)
+        used = itertools.chain(*(pattern * times for pattern, times in found.bins))
+        assert sorted(used) == sorted(lengths)
+        assert all(sum(pattern) <= capacity for pattern, _ in found.bins)
+        assert found.bound <= found.used == sum(times for _, times in found.bins)
+        assert found.proven
+        assert found.used == least_bins(sorted(lengths, reverse=True), capacity), lengths
+
+
+def test_a_search_cut_short_says_so_and_packs_all():
+    chance = random.Random(2)
+    counts = dict(Counter(chance.randrange(200, 500) for _ in range(1000)))
+    found = search(counts, 1000, most_steps=1000)
+    assert not found.proven and found.bound < found.used
+    packed = Counter()
+    for pattern, times in found.bins:
+        packed.update({length: n * times for length, n in Counter(pattern).items()})
+    assert packed == Counter(counts)
+    many = search({length: 1 for length in range(1, 4097)}, 4096)  # every length there is
+    assert sum(sum(p) * t for p, t in many.bins) == 4096 * 4097 // 2
+
+
 def check_packing(pieces, docs, capacity):
     tokenizer, expected = Tokenizer.from_file(WORD), []
     for doc_id, text in docs:
