@@ -9,8 +9,10 @@ bare name. Of overlapping detections the one of better priority wins, and a dete
 that lies within another of equal priority goes. The three base phrases are always
 counted, whatever overlaps them.
 
-Rules are written as templates over a table of licenses; ``signature_rules`` gives them
-all. Defined cases: a null text is the empty text, without words; a null ``doc_id``
+Texts of licenses, headers of source files, fields of package files and terms of dual
+licensing are written out; names, versions and places follow templates over a table of
+licenses. ``signature_rules`` gives them all. "All rights reserved" stands in most free
+licenses too, so it counts only where no license is found. Defined cases: a null text is the empty text, without words; a null ``doc_id``
 stays null; repeated rows are scanned each; other columns are not read; an empty table
 gives no rows.
 """
@@ -93,14 +95,79 @@ _NOTICES = (
     ("epl", "this program and the accompanying materials are made available under the terms of the eclipse"),
     ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
     ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
-    ("proprietary", "all rights reserved"),
     ("proprietary", "unauthorized copying of this file"),
     ("no-warranty", "provided as is without (?:any )?warrant(?:y|ies)"),
     ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer"),
     ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies"),
 )
-NOTICE, STATEMENT, IDENTIFIER, NAME = range(4)
-CONFIDENCE = {NOTICE: 1.0, STATEMENT: 0.9, IDENTIFIER: 0.8, NAME: 0.5}
+# label; words of a header, of a package file or of a choice between licenses
+_STATEMENTS = (
+    ("gpl-2.0-or-later", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3.0-or-later", "gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl-2.0-or-later", "gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("lgpl-2.1-or-later", "gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl-3.0-or-later", "gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl-3.0-or-later", "gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl-2.0-only", "gnu general public license version 2 as published by the free software foundation"),
+    ("gpl-2.0-only", "gnu general public license as published by the free software foundation version 2"),
+    ("gpl-3.0-only", "gnu general public license version 3 as published by the free software foundation"),
+    ("gpl-3.0-only", "gnu general public license as published by the free software foundation version 3"),
+    ("agpl-3.0-only", "gnu affero general public license version 3 as published by the free software foundation"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license"),
+    ("apache-2.0", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache-2.0", "license apache license version 2 0"),
+    ("apache-2.0", "license osi approved apache software license"),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-2.0", "license osi approved mozilla public license 2 0 mpl 2 0"),
+    ("epl-2.0", "made available under the terms of the eclipse public license 2 0 which"),
+    ("epl-1.0", "made available under the terms of the eclipse public license v1 0 which"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("mit", "license osi approved mit license"),
+    ("mit", "use of this source code is governed by an mit style license"),
+    ("mit", "this software is distributed under the mit license"),
+    ("mit", "this project is mit licensed"),
+    ("bsd", "license osi approved bsd license"),
+    ("bsd", "use of this source code is governed by a bsd style license"),
+    ("bsd-2-clause", "redistributions of source code must retain the above copyright notice this list of conditions"),
+    ("isc", "license osi approved isc license iscl"),
+    ("gpl-2.0-only", "license osi approved gnu general public license v2 gplv2"),
+    ("gpl-2.0-or-later", "license osi approved gnu general public license v2 or later gplv2"),
+    ("gpl-3.0-only", "license osi approved gnu general public license v3 gplv3"),
+    ("gpl-3.0-or-later", "license osi approved gnu general public license v3 or later gplv3"),
+    ("lgpl-3.0-only", "license osi approved gnu lesser general public license v3 lgplv3"),
+    ("agpl-3.0-only", "license osi approved gnu affero general public license v3"),
+    ("unlicense", "license osi approved the unlicense unlicense"),
+    ("psf", "license osi approved python software foundation license"),
+    ("apache-2.0-or-mit", "licensed under either of apache license version 2 0"),
+    ("apache-2.0-or-mit", "dual licensed under (?:the )?mit and apache 2 0"),
+    ("apache-2.0-or-mit", "(?:mit or apache 2 0|apache 2 0 or mit)"),
+    ("apache-2.0-or-mit", "dual licensed under (?:the )?apache 2 0 and mit"),
+    ("gpl-or-mit", "dual licensed under (?:the )?mit and gpl"),
+    ("gpl-or-bsd", "dual bsd gpl"),
+    ("gpl-or-bsd", "alternatively this software may be distributed under the terms of the gnu general public license"),
+    ("bsl", "distributed under the boost software license version 1 0"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
+    ("cc-by", "this work is licensed under a creative commons attribution"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("ncsa", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers"),
+    ("openssl", "this product includes software developed by the openssl project"),
+    ("artistic", "you may distribute under the terms of either the gnu general public license or the artistic license"),
+    ("proprietary", "this software is proprietary and confidential"),
+    ("proprietary", "no part of this (?:software|code|file) may be reproduced"),
+)
+_RESERVED = ("proprietary", "all rights reserved")
+NOTICE, STATEMENT, IDENTIFIER, NAME, RESERVED = range(5)
+CONFIDENCE = {NOTICE: 1.0, STATEMENT: 0.9, IDENTIFIER: 0.8, NAME: 0.5, RESERVED: 0.5}
+# The license goes on to later versions, or does not; after a version.
+_EXTENTS = (
+    ("-or-later", "(?: or later| or newer| or any later version| or at your option any later version)"),
+    ("-only", " only"),
+)
+_WITH_EXTENT = ("gpl", "lgpl", "agpl", "gfdl")
 
 
 @dataclass(frozen=True)
@@ -124,17 +191,25 @@ class Detection:
 def signature_rules() -> tuple[Rule, ...]:
     """All rules in order of priority."""
     rules = [Rule(label, NOTICE, _longest_word(words), words) for label, words in _NOTICES]
+    rules += [Rule(label, NOTICE, _longest_word(words), words) for label, words in _STATEMENTS]
+    rules.append(Rule(_RESERVED[0], RESERVED, "reserved", _RESERVED[1]))
     under = "(?:licen[sc]ed|released|distributed|available|provided|published|covered) under"
     for label, name, versions, url in _FAMILIES:
         names, place = tuple(f" {text}" for text in _spellings(name)), (f" {url}",)
         for version in versions:
             full = f"{label}-{version.replace(' ', '.')}"
-            named = f"(?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?(?: version| v)? ?{version}"
+            named = f"(?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?(?: version| v|v)? ?{version}"
+            for extent, words in _EXTENTS if label in _WITH_EXTENT else ():
+                rules += [
+                    Rule(full + extent, STATEMENT, "under", f"{under} {named}{words}", names),
+                    Rule(full + extent, IDENTIFIER, "spdx", f"spdx license identifier {label} {version}{words}"),
+                    Rule(full + extent, NAME, version.split()[0], f"{name}(?: licen[sc]e)?(?: version| v|v)? ?{version}{words}", names),
+                ]
             rules += [
                 Rule(full, STATEMENT, "under", f"{under} {named}", names),
                 Rule(full, IDENTIFIER, "spdx", f"spdx license identifier {label.replace('-', ' ')} {version}"),
                 Rule(full, IDENTIFIER, url.split()[-1], f"{url} {version}", place),
-                Rule(full, NAME, version.split()[0], f"{name}(?: licen[sc]e)?(?: version| v)? ?{version}", names),
+                Rule(full, NAME, version.split()[0], f"{name}(?: licen[sc]e)?(?: version| v|v)? ?{version}", names),
             ]
         rules += [
             Rule(label, STATEMENT, "under", f"{under} (?:the )?(?:terms of (?:the )?)?{name}(?: licen[sc]e)?", names),
@@ -239,7 +314,7 @@ class Scanner:
 
 def resolve(found: list[Detection]) -> list[Detection]:
     """Better priority first, then the longer; one that lies within a kept one, or that
-    overlaps a kept one of better priority, goes."""
+    overlaps a kept one of better priority, goes; so do reserved rights beside a license."""
     kept: dict[int, list[Detection]] = {}
     longest = max((d.end_word - d.first_word for d in found), default=0)
     for d in sorted(
@@ -254,7 +329,9 @@ def resolve(found: list[Detection]) -> list[Detection]:
             for k in near
         ):
             kept.setdefault(d.first_word, []).append(d)
-    every = (d for places in kept.values() for d in places)
+    every = [d for places in kept.values() for d in places]
+    if any(d.priority < RESERVED and d.label not in ("no-warranty", "proprietary") for d in every):
+        every = [d for d in every if d.priority < RESERVED]
     return sorted(every, key=lambda d: (d.first_word, d.label))
 
 

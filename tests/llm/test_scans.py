@@ -180,6 +180,38 @@ def test_licenses_are_found_without_the_word(text, labels):
     assert {d.label for d in licenses.Scanner().scan(text)[2]} == labels
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("License: GPLv3", {"gpl-3"}),
+        ("LGPLv2.1 code", {"lgpl-2.1"}),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", {"gpl-2.0-or-later"}),
+        ("SPDX-License-Identifier: GPL-2.0-only", {"gpl-2.0-only"}),
+        ("GPL-3.0-or-later", {"gpl-3.0-or-later"}),
+        ("GNU GPL v2 or any later version", {"gpl-2-or-later"}),
+        ("it is under AGPLv3 only", {"agpl-3-only"}),
+        ("Licensed under MIT OR Apache-2.0", {"apache-2.0-or-mit"}),
+        ('MODULE_LICENSE("Dual BSD/GPL")', {"gpl-or-bsd"}),
+        ("Classifier: License :: OSI Approved :: MIT License", {"mit"}),
+        ("Copyright 2001 A. All rights reserved.", {"proprietary"}),
+        ("All rights reserved. Redistribution and use in source and binary forms, with or without "
+         "modification, are permitted", {"bsd"}),
+        ("All rights reserved. MIT License", {"mit"}),
+        ("the gplv3x and a GPU v3", set()),
+    ],
+)
+def test_spellings_extents_and_choices(text, labels):
+    assert {d.label for d in licenses.Scanner().scan(text)[2]} == labels
+
+
+def test_what_is_written_out_finds_itself():
+    scan = licenses.Scanner().scan
+    for label, words in (*licenses._NOTICES, *licenses._STATEMENTS):
+        for text in licenses._spellings(words.replace(".{1,60}?", "acme")):
+            found = scan(f"So: {text}. It is")[2]
+            assert any(d.label == label for d in found), (label, text, found)
+
+
 def test_what_selects_rules_loses_no_detection():
     scan = licenses.Scanner().scan
     rules = [(r, re.compile(rf"(?<= )(?:{r.pattern})(?= )")) for r in licenses.signature_rules()]
