@@ -30,6 +30,7 @@ from repopulse.llm.common import _arrow_schema, per_row, texts_of
 from repopulse.llm.svm import SparseRows, train
 
 PER_LANGUAGE = 600
+MOST_SHARES = 10_000  # languages that are cut by share, the largest; the rest are ranked whole
 MOST_DOCUMENTS = 12_000
 BUCKETS = 1 << 15
 CHUNK_CHARS = 500_000
@@ -150,17 +151,27 @@ def _vote(names: list[str], machines: list[Separator], margins: list[float]) ->
     return best, float(1.0 / (1.0 + np.exp(-3.0 * np.clip(weakest[best], -10, 10))))
 
 
-def learn(
-    docs: DataFrame, per_language: int = PER_LANGUAGE, most_documents: int = MOST_DOCUMENTS
-) -> LanguageModel:
-    """Learn from ``text`` and ``lang`` of documents that are not held out."""
-    labelled = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
-    ).where(~held_out() & (F.coalesce("lang", F.lit("")) != "") & F.col("text").isNotNull())
+def sampled_ids(labelled: DataFrame, per_language: int, most_documents: int) -> DataFrame:
+    """``_chosen``: ids of the first documents of each language, by a hash of the id."""
     spread = F.xxhash64("doc_id", F.lit(6))
+    # Of a large language, only ids below a hash are ranked: over twice the sample is below.
+    wanted = 2 * per_language + 50
+    shares = (
+        labelled.groupBy("lang")
+        .agg(F.approx_count_distinct("doc_id").alias("_n"))
+        .where(F.col("_n") > 2 * wanted)
+        .orderBy(F.desc("_n"), "lang")
+        .limit(MOST_SHARES)
+        .select("lang", (wanted / F.col("_n")).alias("_share"))
+    )
+    below = (F.coalesce("_share", F.lit(1.0)) - 0.5) * 2.0**64
     in_language = Window.partitionBy("lang").orderBy(spread, "doc_id")
-    chosen = (
+    return (
         labelled.select("doc_id", "lang")
+        .join(F.broadcast(shares), "lang", "left")
+        .where(spread <= below)
+        .select("doc_id", "lang")
+        .distinct()
         .withColumn("_nth", F.row_number().over(in_language))
         .where(F.col("_nth") <= per_language)
         .orderBy("_nth", "lang")
@@ -168,6 +179,16 @@ def learn(
         .select(F.col("doc_id").alias("_chosen"))
         .distinct()
     )
+
+
+def learn(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, most_documents: int = MOST_DOCUMENTS
+) -> LanguageModel:
+    """Learn from ``text`` and ``lang`` of documents that are not held out."""
+    labelled = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
+    ).where(~held_out() & (F.coalesce("lang", F.lit("")) != "") & F.col("text").isNotNull())
+    chosen = sampled_ids(labelled, per_language, most_documents)
     # The chosen ids are at most ``most_documents``: a bounded broadcast.
     sample = labelled.join(
         F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi"

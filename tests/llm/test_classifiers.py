@@ -46,6 +46,21 @@ def test_languages_of_awkward_documents(spark, documents, awkward, nothing):
     assert {r.lang_pred for r in language.predict_language(awkward, one).collect()} == {"en", "und"}
 
 
+def test_the_sample_of_a_hot_language_is_cut_before_it_is_ranked(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id AS doc_id", "if(id % 10 < 8, 'en', if(id % 10 = 8, 'de', concat('x', id % 40))) AS lang"
+    )
+    hashed = rows.selectExpr("doc_id", "lang", "xxhash64(doc_id, 6) AS h").collect()
+    for most in (10_000, 100):
+        ranked = []
+        for lang in {r.lang for r in hashed}:
+            own = sorted((r.h, r.doc_id) for r in hashed if r.lang == lang)[:30]
+            ranked += [(nth, lang, doc_id) for nth, (_, doc_id) in enumerate(own)]
+        expected = {doc_id for *_, doc_id in sorted(ranked)[:most]}
+        found = language.sampled_ids(rows, 30, most).collect()
+        assert {r._chosen for r in found} == expected
+
+
 def test_a_long_text_is_read_in_pieces(monkeypatch):
     text = "der die das und nicht mit für " * 200
     found = language.train_model(
