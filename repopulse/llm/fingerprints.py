@@ -36,7 +36,7 @@ from repopulse.llm.common import _arrow_schema, texts_of, to_batch
 SMALLEST, WANTED, LARGEST = 16, 64, 256
 STRICT_BITS, LOOSE_BITS = 7, 5
 BUCKET_ROWS = 2_000
-MOST_BUCKETS = 4_096
+MOST_BUCKETS = 32_768
 
 GEAR = np.array(
     [
@@ -168,7 +168,7 @@ def _next_to_successor(texts: DataFrame, bucket_rows: int) -> DataFrame:
     n = ids.count()
     wanted = max(1, min(MOST_BUCKETS, n // bucket_rows))
     shares = [k / wanted for k in range(1, wanted)]
-    inner = ids.agg(F.percentile_approx("doc_id", shares)).first()[0] if shares else []
+    inner = ids.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * wanted))).first()[0] if shares else []
     splits = [float("-inf"), *sorted({float(x) for x in inner or []}), float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket")
 
@@ -208,6 +208,6 @@ def _next_to_successor(texts: DataFrame, bucket_rows: int) -> DataFrame:
         .join(tails, F.col("doc_id").eqNullSafe(F.col("_first")), "left")
         .select("doc_id", "text", F.explode(F.concat(own, ending)).alias("_at"))
         .select(F.col("_at.bucket").alias("bucket"), F.col("_at.tail").alias("tail"), "doc_id", "text")
-        .repartition(max(1, len(firsts)), "bucket")
+        .repartitionById(max(1, len(splits) - 1), F.col("bucket"))
         .sortWithinPartitions("bucket", "tail", "doc_id", "text")
     )

@@ -273,6 +273,14 @@ def test_every_document_meets_its_successor(spark, awkward, nothing, bucket_rows
     assert fingerprints.fingerprint_documents(nothing).count() == 0
 
 
+def test_each_bucket_is_a_task_of_its_own(spark):
+    docs = spark.range(3000).selectExpr("id * 7 AS doc_id", "cast(id AS string) AS text")
+    rows = fingerprints._next_to_successor(docs, 100).selectExpr("spark_partition_id() AS task", "bucket")
+    sizes = {(r.task, r.bucket): r["count"] for r in rows.groupBy("task", "bucket").count().collect()}
+    assert len(sizes) == 30 == len({task for task, _ in sizes})
+    assert max(sizes.values()) <= 110
+
+
 def test_the_fingerprint_query_over_its_table(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     assert keyed(QUERIES["op8_chunk_fingerprints"](spark, SF).collect()) == keyed(fingerprint_rows(docs))
