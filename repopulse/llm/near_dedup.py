@@ -98,7 +98,10 @@ def find_near_duplicates(
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, of one document of each component."""
+    """The rows of ``docs``, all columns as they are, of one ``doc_id`` of each component.
+
+    Rows that share the ``doc_id`` that stays are all kept, equal ones too.
+    """
     found = find_near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
