@@ -81,24 +81,25 @@ def encode_block(
     steps = -(-len(ids) // lanes)
     precision = np.uint64(model.precision)
     limit = np.uint64(63 - model.precision)
-    freq, start = model.freq[ids], model.start[ids]
+    freq, start = model.freq.take(ids), model.start.take(ids)
     if len(ids) and not freq.all():
         raise ValueError("a symbol without frequency")
+    bound, rest = freq << limit, (np.uint64(1) << precision) - freq
     state = np.full(lanes, _LOW, dtype=np.uint64)
     words: list[np.ndarray] = []
     saved: list[tuple[int, bytes]] = []
     written = 0
     for step in range(steps - 1, -1, -1):
-        f = freq[step * lanes : (step + 1) * lanes]
+        place = slice(step * lanes, (step + 1) * lanes)
+        f = freq[place]
         x = state[: len(f)]
-        full = x >= (f << limit)
-        out = (x[full] & _WORD_MASK).astype("<u4")
-        if len(out):
-            words.append(out)
-            written += len(out)
-            x[full] >>= _WORD
-        quotient = x // f
-        x[:] = (quotient << precision) + (x - quotient * f) + start[step * lanes : (step + 1) * lanes]
+        full = np.flatnonzero(x >= bound[place])
+        if len(full):
+            large = x[full]
+            words.append((large & _WORD_MASK).astype("<u4"))
+            written += len(full)
+            x[full] = large >> _WORD
+        x += (x // f) * rest[place] + start[place]  # quotient and remainder anew, and the start
         if step % every == 0:
             saved.append((written, state.astype("<u8").tobytes()))
     body = b"".join(
@@ -132,21 +133,26 @@ def decode_part(block: bytes, model: Model, checkpoint: int) -> np.ndarray:
     (next_word,) = struct.unpack_from("<I", block, at)
     state = np.frombuffer(block, "<u8", lanes, at + 4).astype(np.uint64)
     words = np.frombuffer(block, "<u4", n_words, _HEAD.size + checkpoints * (4 + 8 * lanes))
+    words = words[next_word : next_word + every * lanes].astype(np.uint64)  # a word a symbol at most
+    next_word = 0
     precision, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+    slots = model.slots
     first = checkpoint * every * lanes
     last = min(count, first + every * lanes)
     out = np.empty(last - first, dtype=np.uint32)
     for place in range(0, last - first, lanes):
         x = state[: min(lanes, last - first - place)]
         slot = x & mask
-        symbol = model.slots[slot]
+        symbol = slots.take(slot.view(np.int64)).astype(np.intp)
         out[place : place + len(x)] = symbol
-        x[:] = model.freq[symbol] * (x >> precision) + slot - model.start[symbol]
-        short = x < _LOW
-        need = int(np.count_nonzero(short))
-        if need:
-            x[short] = (x[short] << _WORD) | words[next_word : next_word + need]
-            next_word += need
+        x >>= precision
+        x *= model.freq.take(symbol)
+        x += slot
+        x -= model.start.take(symbol)
+        short = np.flatnonzero(x < _LOW)
+        if len(short):
+            x[short] = (x[short] << _WORD) | words[next_word : next_word + len(short)]
+            next_word += len(short)
     return out
 
 

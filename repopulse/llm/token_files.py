@@ -124,32 +124,33 @@ def _raw_blocks(docs, vocabulary, end_id, block_tokens, id_col, text_col) -> Dat
         .withColumn("part", F.spark_partition_id())
     )
     schema = _arrow_schema(docs.sparkSession, _RAW)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(vocabulary)
         part, number, first = 0, 0, 0
         doc_ids: list = []
         lengths: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        n = 0
 
         def block() -> pa.RecordBatch:
-            ids = _narrow(np.frombuffer(b"".join(held), dtype="<u4"))
             return to_batch(
-                [(part, number, first, sum(lengths), doc_ids, lengths, ids)], schema
+                [(part, number, first, n, doc_ids, lengths, _narrow(np.concatenate(held)))], schema
             )
 
         for batch in batches:
-            for doc_id, text, p in zip(*(batch.column(c) for c in ("doc_id", "text", "part"))):
-                part = p.as_py()
-                ids = encoder.encode(text.as_py()) + end
-                if lengths and sum(lengths) + len(ids) // 4 > block_tokens:
+            part = batch.column("part")[0].as_py() if len(batch) else part
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts)):
+                if lengths and n + len(ids) + 1 > block_tokens:
                     yield block()
-                    number, first = number + 1, first + sum(lengths)
-                    doc_ids, lengths, held = [], [], []
-                doc_ids.append(doc_id.as_py())
-                lengths.append(len(ids) // 4)
-                held.append(ids)
+                    number, first = number + 1, first + n
+                    doc_ids, lengths, held, n = [], [], [], 0
+                doc_ids.append(doc_id)
+                lengths.append(len(ids) + 1)
+                held += ids, end
+                n += len(ids) + 1
         if lengths:
             yield block()
 

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from repopulse.llm import packing, rans, token_files
+from repopulse.llm import packing, rans, token_files, tokens
 from repopulse.llm.bin_completion import best_fit, lower_bound, pack_histogram, search
 from repopulse.llm.common import table
 from repopulse.llm.tokens import TextEncoder, vocabulary_path
@@ -55,6 +55,82 @@ def _pair(vocabulary):
     return _pairs[vocabulary]
 
 
+@pytest.mark.parametrize("vocabulary", [BYTE, WORD])
+def test_texts_in_groups_give_the_ids_of_each(monkeypatch, vocabulary):
+    monkeypatch.setattr(tokens, "GROUP_CHARACTERS", 300)
+    tokenizer, encoder = _pair(vocabulary)
+    texts = [t or "" for _, t in AWKWARD]
+    texts += ["x\n\nY", "\nY", "a \n b", "end  ", " ", "Ünï×é,÷è.", "a <|endoftext|> b", "\x00a, b\x00"]
+    texts += ["a\xa0 b", "a \xa0b", "c\n\u3000d", "e,\x85 f", "\ufeff g", "h =\u0338 i.", "j \u0301k", "日本 語"]
+    found = list(encoder.encode_all(iter(texts)))
+    assert len(found) == len(texts)
+    for text, ids in zip(texts, found):
+        assert ids.tobytes() == plain_ids(tokenizer, text).tobytes(), text[:80]
+    assert list(encoder.encode_all([])) == []
+
+
+ODD = "aBé' .,!|\n\t1½\u0301 ß×\xa0\x85\x1c\u3000\u2028\u200b<=\u0338日\r&"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=ODD, max_size=25), max_size=6))
+def test_groups_give_the_ids_of_any_texts(texts):
+    for vocabulary in (BYTE, WORD):
+        tokenizer, encoder = _pair(vocabulary)
+        found = [ids.tobytes() for ids in encoder.encode_all(texts)]
+        assert found == [plain_ids(tokenizer, text).tobytes() for text in texts]
+
+
+def _counted(encoder):
+    seen, work = Counter(), encoder._pieces._worked_out
+
+    def counted(piece):
+        seen[piece] += 1
+        return work(piece)
+
+    encoder._pieces._worked_out = counted
+    return seen
+
+
+def test_a_piece_is_worked_out_once_for_all_its_occurrences():
+    encoder = TextEncoder(BYTE)
+    seen = _counted(encoder)
+    long = "x" * (tokens.LONGEST_CACHED + 1)  # is not kept, and still met once a group
+    list(encoder.encode_all([f"One word, {long} one word, One word."] * 50))
+    assert set(seen.values()) == {1} and {" word", ",", f" {long}"} <= set(seen)
+
+
+def test_pieces_in_use_outlive_the_rare_ones(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
+    encoder = TextEncoder(BYTE)
+    seen = _counted(encoder)
+    for k in range(20):
+        list(encoder.encode_all([f"used and {'a' * (k + 1)} {'b' * (k + 1)} {'c' * (k + 1)}"]))
+    assert seen["used"] == seen[" and"] == 1
+    assert len(encoder._pieces._young) + len(encoder._pieces._old) <= 2 * 15
+
+
+def test_a_block_is_the_same_as_by_the_plain_steps():
+    """The format holds: a block written by the definition reads back, and is what is written."""
+    ids = np.random.default_rng(5).zipf(1.3, 700).clip(max=90).astype(np.uint32)
+    model, lanes = rans.Model(rans.frequencies(np.bincount(ids))), 8
+    states, words = [1 << 31] * lanes, []
+    for k in range(len(ids) - 1, -1, -1):
+        f, start = int(model.freq[ids[k]]), int(model.start[ids[k]])
+        if k % lanes == min(lanes, len(ids) - k // lanes * lanes) - 1:
+            words.insert(0, [])  # a step's words stand in the order of its lanes
+        x = states[k % lanes]
+        if x >= f << (63 - rans.PRECISION):
+            words[0].insert(0, x & 0xFFFFFFFF)
+            x >>= 32
+        states[k % lanes] = (x // f << rans.PRECISION) + x % f + start
+    flat = list(itertools.chain(*words))
+    block = rans.encode_block(ids, model, lanes, every=1000)
+    body = b"\0\0\0\0" + np.array(states, "<u8").tobytes() + np.array(flat, "<u4").tobytes()
+    assert block[rans._HEAD.size : -4] == body and flat
+    assert (rans.decode_block(block, model) == ids).all()
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 300), max_size=900), st.integers(1, 9), st.integers(1, 5))
 def test_blocks_decode_to_what_was_coded(ids, lanes, every):
